@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from roadpulse.functions.cells import to_number
@@ -90,7 +90,7 @@ def steady_state_summary(metrics: DataFrame, run: str | None = None) -> DataFram
     )
 
 
-def _per_config(metrics: DataFrame):
+def _per_config(metrics: DataFrame) -> GroupedData:
     return metrics.where(F.col("config").isNotNull()).groupBy("config")
 
 
@@ -120,32 +120,30 @@ def latency_histogram(metrics: DataFrame, column: str = "duration_sec", bins: in
 
     Bins are half open except the last; if all values agree, the range is half a
     unit to either side. Columns: ``bin`` (from 0), ``lo``, ``hi``, ``n``.
+
+    The range is read first, as one row; the counts are a second pass over the
+    one column.
     """
-    bounds = metrics.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    flat = F.col("lo") == F.col("hi")
-    span = bounds.select(
-        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-    )
-    low, high = span.select("lo").scalar(), span.select("hi").scalar()
+    low, high = metrics.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        low, high = 0.0, 1.0
+    elif low == high:
+        low, high = low - 0.5, high + 0.5
+    width = (high - low) / bins
 
-    def edge(number):
-        return F.when(number == bins, high).otherwise(low + number * ((high - low) / bins))
+    def edge(number: Column) -> Column:
+        return F.when(number == bins, high).otherwise(low + number * width)
 
     value = F.col(column)
     guess = F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1))
     # Division may land a value one bin away from the edges it is reported with.
-    nudged = (
-        F.when(value < edge(F.col("guess")), F.col("guess") - 1)
-        .when(
-            (F.col("guess") < bins - 1) & (value >= edge(F.col("guess") + 1)), F.col("guess") + 1
-        )
-        .otherwise(F.col("guess"))
+    nudge = F.when(value < edge(F.col("guess")), -1).when(
+        (F.col("guess") < bins - 1) & (value >= edge(F.col("guess") + 1)), 1
     )
     counts = (
         metrics.where(value.isNotNull())
         .withColumn("guess", guess)
-        .groupBy(nudged.alias("bin"))
+        .groupBy((F.col("guess") + F.coalesce(nudge, F.lit(0))).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     every_bin = metrics.sparkSession.range(bins).withColumnRenamed("id", "bin")

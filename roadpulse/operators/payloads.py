@@ -41,13 +41,29 @@ def encode_payload(records: DataFrame) -> DataFrame:
 
 
 def payload_key_profile(messages: DataFrame) -> DataFrame:
-    """For every key of the JSON objects: how many messages have it, and a value.
+    """For every key of the JSON objects, how many messages have it.
 
-    Columns: ``key``, ``messages``, ``sample_value`` (the least one).
+    Looks at all messages, and only at their keys.
     """
-    cells = F.from_json(F.col("value").cast("string"), T.MapType(T.StringType(), T.StringType()))
+    text = F.col("value").cast("string")
     return (
-        messages.select(F.explode(cells).alias("key", "cell"))
+        messages.select(F.explode(F.json_object_keys(text)).alias("key"))
         .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("messages"), F.min("cell").alias("sample_value"))
+        .agg(F.count(F.lit(1)).alias("messages"))
+    )
+
+
+def payload_samples(messages: DataFrame, n: int = 3, cells: int = 3) -> DataFrame:
+    """Keys of the earliest ``n`` JSON messages and their first ``cells`` values.
+
+    A top-n: no more than ``n`` messages per task are kept.
+    """
+    text = F.col("value").cast("string")
+    keys = F.json_object_keys(text)
+    earliest = messages.where(keys.isNotNull()).orderBy("timestamp", "value").limit(n)
+    values = F.map_values(F.from_json(text, T.MapType(T.StringType(), T.StringType())))
+    return earliest.select(
+        "timestamp",
+        F.array_join(keys, "|").alias("keys"),
+        F.array_join(F.slice(values, 1, cells), "|", "").alias("sample_values"),
     )

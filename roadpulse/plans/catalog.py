@@ -27,7 +27,7 @@ from roadpulse.operators import (
     windows,
 )
 from roadpulse.plans import feeds
-from roadpulse.schemas import BASE_COLUMNS, FLOW_NAMES, SPEED_NAMES, STATION_TYPED
+from roadpulse.schemas import BASE_COLUMNS, FLOW_NAMES, SPEED_NAMES, STATION_READING
 from roadpulse.sinks import files as sinks
 from roadpulse.sources import files as sources
 from roadpulse.storage import fresh_path, materialise
@@ -327,7 +327,7 @@ def canonical_reading(spark, sf_dir):
 
 @query
 def event_time_ingest(spark, sf_dir):
-    decoded = payloads.decode_payload(feeds.messages(spark, sf_dir))
+    decoded = payloads.decode_payload(feeds.messages(spark, sf_dir), STATION_READING)
     return readings.canonical_readings(decoded, event_time="ingest")
 
 
@@ -412,6 +412,12 @@ def payload_key_profile(spark, sf_dir):
     return payloads.payload_key_profile(feeds.messages(spark, sf_dir))
 
 
+@query
+def payload_samples(spark, sf_dir):
+    samples = payloads.payload_samples(feeds.messages(spark, sf_dir))
+    return samples.withColumnRenamed("timestamp", "kafka_ts")
+
+
 # --- batch metrics -------------------------------------------------------------
 
 
@@ -564,11 +570,7 @@ def window_agg_rounded(spark, sf_dir):
     typed = records.select(
         F.col("ts"),
         F.col("Region").alias("region"),
-        *[
-            cells.to_number(F.col(name)).alias(name)
-            for name in ("Total Flow", "Avg Speed")
-            if name in STATION_TYPED.names
-        ],
+        *[cells.to_number(F.col(name)).alias(name) for name in ("Total Flow", "Avg Speed")],
     )
     return windows.typed_window_aggregate(typed, "1 hour")
 

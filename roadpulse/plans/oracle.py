@@ -207,12 +207,18 @@ _JSON_TEXT = " || ',' || ".join(
     f"""'"{name}":"' || coalesce({column}, '') || '"'""" for name, column in _JSON_CELLS
 )
 _KEY_ROWS = " UNION ALL ".join(
-    f"""SELECT '{name}' AS key, count(*) AS messages, min({column}) AS sample_value
+    f"""SELECT '{name}' AS key, count(*) AS messages
 FROM decodable WHERE {column} IS NOT NULL HAVING count(*) > 0"""
     for name, column in _JSON_CELLS
 )
 
 
+_PRESENT_KEYS = ", ".join(
+    f"CASE WHEN {column} IS NOT NULL THEN '{name}' END" for name, column in _JSON_CELLS
+)
+_PRESENT_CELLS = ", ".join(column for _, column in _JSON_CELLS)
+
+
 def _decoded(condition: str) -> str:
     columns = ", ".join(
         f"CASE WHEN event_id % 23 = 0 THEN NULL ELSE {column} END AS {column}"
@@ -331,6 +337,10 @@ SELECT event_id, time_text, station, total_flow FROM station ORDER BY time_text,
     "payload_key_profile": f"""WITH {_STATION},
 decodable AS (SELECT * FROM station WHERE event_id % 29 <> 0 AND event_id % 23 <> 0)
 {_KEY_ROWS}""",
+    "payload_samples": f"""WITH {_STATION}
+SELECT ts AS kafka_ts, concat_ws('|', {_PRESENT_KEYS}) AS keys,
+  array_to_string(list_filter([{_PRESENT_CELLS}], lambda cell: cell IS NOT NULL)[1:3], '|') AS sample_values
+FROM station WHERE event_id % 29 <> 0 AND event_id % 23 <> 0 ORDER BY ts LIMIT 3""",
     # batch metrics
     "metrics_normalise": f"""WITH {_METRICS}
 SELECT batch_id, rows, {_round("duration_sec")} AS duration_sec, {_round("throughput")} AS throughput_rps,

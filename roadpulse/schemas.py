@@ -64,6 +64,8 @@ def _strings(names: list[str]) -> T.StructType:
 # a bad cell becomes NULL in a later cast instead of spoiling its record.
 STATION_TEXT = _strings([*BASE_COLUMNS, "Region"])
 STATION_LINE = _strings(BASE_COLUMNS)
+# The cells a reading is made of when the broker gives its time.
+STATION_READING = _strings(["Station", "District", "Total Flow", "Avg Speed"])
 
 _TYPED = {
     "District": T.IntegerType(),

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 FOLDER_SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _single_machine_folder() -> str:
+    return tempfile.mkdtemp(prefix="roadpulse-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate tables and checkpoints.
 
@@ -18,10 +24,9 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(FOLDER_SETTING, None)
     if not folder:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {FOLDER_SETTING} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="roadpulse-")
-        spark.conf.set(FOLDER_SETTING, folder)
+        folder = _single_machine_folder()
     return folder.rstrip("/")
 
 

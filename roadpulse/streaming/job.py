@@ -18,7 +18,8 @@ from roadpulse.functions.labels import config_text
 from roadpulse.operators.payloads import decode_payload
 from roadpulse.operators.readings import canonical_readings, completeness
 from roadpulse.operators.windows import window_aggregate
-from roadpulse.schemas import SWEEP
+from roadpulse.schemas import STATION_READING, SWEEP
+from roadpulse.sinks.console import console_sink
 from roadpulse.sinks.files import parquet_sink, update_log_sink
 from roadpulse.sources.files import stream_station_files
 from roadpulse.sources.kafka import kafka_options, stream_messages
@@ -33,7 +34,7 @@ def stream_readings(spark: SparkSession, params: JobParams) -> DataFrame:
             params.kafka_servers, params.kafka_topic, params.max_offsets_per_trigger
         )
         records = decode_payload(
-            stream_messages(spark, options), drop_malformed=params.drop_malformed
+            stream_messages(spark, options), STATION_READING, params.drop_malformed
         )
     else:
         records = stream_station_files(
@@ -53,20 +54,27 @@ class RunningJob:
     query: StreamingQuery
     listener: MetricsListener
     spark: SparkSession
+    console: StreamingQuery | None = None
 
     def await_end(self, flush_seconds: float = 30) -> None:
-        """Wait for the query, writing metrics rows on the way and at the end."""
+        """Wait for the query, writing metrics rows on the way and at the end.
+
+        A console query that fails ends the job too, rather than unnoticed.
+        """
         try:
             while not self.query.awaitTermination(flush_seconds):
                 self.listener.flush()
+                if self.console and self.console.exception():
+                    raise self.console.exception()
+            if self.console:
+                self.console.processAllAvailable()
         finally:
-            self._close()
+            self.stop()
 
     def stop(self) -> None:
-        self.query.stop()
-        self._close()
-
-    def _close(self) -> None:
+        for query in (self.query, self.console):
+            if query is not None:
+                query.stop()
         # The last reports reach the listener a moment after the query ends.
         self.listener.ended.wait(30)
         self.listener.flush()
@@ -79,10 +87,11 @@ def start(
     """Start the job. ``readings`` replaces the configured source."""
     if readings is None:
         readings = stream_readings(spark, params)
-    result = windowed_stream(readings, params.window, params.watermark)
+    windows = windowed_stream(readings, params.window, params.watermark)
+    result = windows
     if params.output_files:
         # Few files per batch; the rows here are closed windows, not readings.
-        result = result.repartition(params.output_files)
+        result = windows.repartition(params.output_files)
     name = f"roadpulse-{uuid.uuid4().hex}"
     config = config_text(params.source, params.window, params.trigger)
     listener = MetricsListener(spark, name, config, params.metrics_path)
@@ -95,7 +104,8 @@ def start(
     except Exception:
         spark.streams.removeListener(listener)
         raise
-    return RunningJob(query, listener, spark)
+    console = console_sink(windows, params.trigger).start() if params.console else None
+    return RunningJob(query, listener, spark, console)
 
 
 def run(spark: SparkSession, params: JobParams, readings: DataFrame | None = None) -> None:

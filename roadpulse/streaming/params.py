@@ -15,6 +15,7 @@ class JobParams:
 
     ``sink`` is ``"parquet"`` for closed windows, each once, or ``"updates"`` for
     a log of every change. ``trigger`` is an interval or ``"available-now"``.
+    ``console`` also prints closed windows, by a second query with its own state.
     """
 
     output_path: str
@@ -33,6 +34,7 @@ class JobParams:
     max_offsets_per_trigger: int | None = None
     output_files: int | None = None
     drop_malformed: bool = False
+    console: bool = False
 
     def __post_init__(self) -> None:
         if self.source not in SOURCES:

@@ -14,13 +14,12 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     settings = {
         "spark.master": "local[8]",
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "4g",
-        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     }
     session = build_session("roadpulse-tests", **settings)
     session.sparkContext.setLogLevel("ERROR")
