@@ -33,6 +33,11 @@ def canonical_readings(records: DataFrame, event_time: str = "payload") -> DataF
     ).where(F.col("ts").isNotNull())
 
 
+def timed_records(records: DataFrame) -> DataFrame:
+    """Typed station records with their event time as ``ts``."""
+    return records.withColumn("ts", read_time(F.col("Timestamp")))
+
+
 def completeness() -> list[Column]:
     """Counts of usable cells, for one ``agg`` or one ``observe`` pass."""
     return [

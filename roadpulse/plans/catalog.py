@@ -664,6 +664,30 @@ def stream_station_job(spark, sf_dir):
     return sources.read_aggregates(spark, params.output_path)
 
 
+@query
+def stream_message_job(spark, sf_dir):
+    """From JSON messages to aggregates by broker time."""
+    inbox = fresh_path(spark, "messages")
+    feeds.messages(spark, sf_dir).write.parquet(inbox)
+    stream = spark.readStream.schema(spark.read.parquet(inbox).schema).parquet(inbox)
+    records = payloads.decode_payload(stream, STATION_READING)
+    params = job_params(spark)
+    job.run(spark, params, readings.canonical_readings(records, event_time="ingest"))
+    return sources.read_aggregates(spark, params.output_path)
+
+
+@query
+def stream_typed_updates(spark, sf_dir):
+    """Typed CSV files to rounded aggregates in update mode."""
+    records = sources.stream_station_files(spark, station_csv(spark, sf_dir), typed=True)
+    timed = readings.timed_records(records).withWatermark("ts", "10 seconds")
+    log, checkpoint = fresh_path(spark, "updates"), fresh_path(spark, "updates-checkpoint")
+    stream = windows.typed_window_aggregate(timed, "5 seconds")
+    sinks.update_log_sink(stream, log, checkpoint, "available-now").start().awaitTermination()
+    keys = ["region", "window_start", "window_end"]
+    return sinks.latest_updates(spark.read.parquet(log), keys)
+
+
 @query
 def stream_late_data(spark, sf_dir):
     """Errors of the first ten days arrive last and are dropped as late."""

@@ -426,6 +426,24 @@ ORDER BY congestion_index DESC NULLS LAST, region NULLS LAST, window_start LIMIT
 SELECT ts, region, road_id, vehicle_count, speed FROM readings""",
     "stream_window_agg": _closed(_EVENT_READINGS, "10 seconds"),
     "stream_station_job": _closed(_READINGS, "1 hour"),
+    "stream_message_job": _closed(
+        _STATION
+        + """,
+readings AS (
+  SELECT ts,
+    CASE WHEN event_id % 23 = 0 THEN NULL WHEN district IN ('7', '7.0') THEN 'LA' ELSE district END AS region,
+    CASE WHEN event_id % 23 = 0 OR no_flow THEN NULL ELSE CAST(trunc(value) AS INTEGER) END AS vehicle_count,
+    CASE WHEN event_id % 23 = 0 OR no_speed THEN NULL ELSE value END AS speed
+  FROM station WHERE event_id % 29 <> 0
+)""",
+        "1 hour",
+    ),
+    "stream_typed_updates": f"""WITH {_STATION}
+SELECT region, time_bucket(INTERVAL '5 seconds', ts) AS window_start,
+  time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS window_end,
+  {_round("avg(CASE WHEN no_speed THEN NULL ELSE value END)", 2)} AS avg_speed,
+  {_round("sum(CASE WHEN no_flow THEN NULL ELSE value END)", 2)} AS total_vehicles
+FROM station WHERE time_text <> 'bad' GROUP BY 1, 2""",
     "stream_late_data": _closed(
         """readings AS (
   SELECT ts, event_type AS region, CAST(trunc(value) AS INTEGER) AS vehicle_count, value AS speed

@@ -163,6 +163,33 @@ def test_console(spark, tmp_path):
     assert printed_rows(query) == 2
 
 
+def test_kafka_job_uses_broker_time(spark, tmp_path, monkeypatch):
+    """The Kafka source itself is replaced; decoding and event time are not."""
+    inbox = str(tmp_path / "messages")
+    messages = [
+        ('{"Station": "1", "District": "7.0", "Total Flow": "5.9", "Avg Speed": "10"}', START),
+        ('{"Station": "1", "District": "7", "Total Flow": "4", "Timestamp": "bad"}', START),
+        ("not json", START),
+        (None, START),
+        ('{"District": "8", "Total Flow": "", "Avg Speed": "2"}', START + dt.timedelta(minutes=5)),
+        ("{}", START + dt.timedelta(hours=1)),
+    ]
+    frame = spark.createDataFrame(messages, "value string, timestamp timestamp_ntz")
+    frame = frame.select(F.col("value").cast("binary"), F.col("timestamp").cast("timestamp"))
+    frame.write.parquet(inbox)
+
+    def stream_messages(session, options):
+        assert options["subscribe"] == "readings"
+        return session.readStream.schema(frame.schema).parquet(inbox)
+
+    monkeypatch.setattr(job, "stream_messages", stream_messages)
+    given = params(tmp_path, source="kafka", kafka_topic="readings", input_path=None)
+    job.run(spark, given)
+    assert results(spark, given.output_path) == {("LA", 0): 9, (None, 0): None, ("8", 300): None}
+    labels = {row["config"] for row in read_metrics(spark, given.metrics_path).collect()}
+    assert labels == {"kafka|window=5 seconds|trigger=available-now"}
+
+
 def test_kafka_options():
     options = kafka_options("a:1,b:2", "readings", max_offsets_per_trigger=1000)
     group = options.pop("groupIdPrefix")
