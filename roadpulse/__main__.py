@@ -36,6 +36,10 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
                 default=None if field.default is MISSING else field.default,
             )
 
+    converted = commands.add_parser("convert", help="name the columns of raw station files")
+    converted.add_argument("input")
+    converted.add_argument("--output")
+
     prepared = commands.add_parser("prepare", help="clean station files into CSV")
     prepared.add_argument("input")
     prepared.add_argument("--output")
@@ -65,6 +69,9 @@ def main(arguments: list[str] | None = None) -> None:
         params = JobParams.from_mapping(options)
         extra = {"spark.jars.packages": KAFKA_PACKAGE} if params.source == "kafka" else {}
         job.run(build_session(**extra), params)
+    elif command == "convert":
+        records = read_station_files(build_session(), options["input"])
+        write_csv(records, options["output"] or default_csv_path(options["input"]))
     elif command == "prepare":
         records = read_station_files(build_session(), options["input"])
         output = options["output"] or default_csv_path(options["input"], "_final")

@@ -14,14 +14,15 @@ def stream_station_files(
     path: str,
     typed: bool = False,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
     clean_source: str = "off",
     archive_path: str | None = None,
 ) -> DataFrame:
     """New CSV files with a header line, bound to the fixed schema by position.
 
     ``typed`` reads numbers as numbers, a cell that is none becoming NULL.
-    ``max_files_per_trigger`` paces a replay; ``clean_source`` (``archive`` or
-    ``delete``) keeps the folder from growing.
+    A limit of files or of bytes paces a replay; ``clean_source``
+    (``archive`` or ``delete``) keeps the folder from growing.
     """
     reader = (
         spark.readStream.format("csv")
@@ -31,6 +32,8 @@ def stream_station_files(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if archive_path:
         reader = reader.option("sourceArchiveDir", archive_path)
     return reader.load(path)
@@ -57,7 +60,7 @@ def has_header(spark: SparkSession, path: str) -> bool:
     if line is None:
         return False
     cell = line["value"].split(",", 1)[0]
-    return bool(cell) and "/" not in cell and "-" not in cell
+    return "/" not in cell and "-" not in cell
 
 
 def read_station_files(spark: SparkSession, path: str) -> DataFrame:
@@ -96,7 +99,7 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
         "batch_duration",
         "processed_rps",
     ]
-    counts = ["batch_id", "rows"]
+    counts = ["batch_id", "rows", "has_speed", "has_count", "dropped_late"]
     typed = {name: to_number(F.col(name)) for name in numbers if name in text.columns}
     typed |= {
         name: to_number(F.col(name)).try_cast("bigint") for name in counts if name in text.columns

@@ -10,11 +10,15 @@ KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2"
 
 
 def kafka_options(
-    servers: str, topic: str, max_offsets_per_trigger: int | None = None
+    servers: str,
+    topic: str,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
     """One topic from its earliest offset, with a consumer group of its own.
 
-    After the first start the checkpoint's offsets take over.
+    After the first start the checkpoint's offsets take over. ``min_partitions``
+    above the topic's own number splits its fuller partitions over more tasks.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -24,6 +28,8 @@ def kafka_options(
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 

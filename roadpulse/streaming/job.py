@@ -31,14 +31,20 @@ def stream_readings(spark: SparkSession, params: JobParams) -> DataFrame:
     """Canonical readings of the configured source."""
     if params.source == "kafka":
         options = kafka_options(
-            params.kafka_servers, params.kafka_topic, params.max_offsets_per_trigger
+            params.kafka_servers,
+            params.kafka_topic,
+            params.max_offsets_per_trigger,
+            params.min_partitions,
         )
         records = decode_payload(
             stream_messages(spark, options), STATION_READING, params.drop_malformed
         )
     else:
         records = stream_station_files(
-            spark, params.input_path, max_files_per_trigger=params.max_files_per_trigger
+            spark,
+            params.input_path,
+            max_files_per_trigger=params.max_files_per_trigger,
+            max_bytes_per_trigger=params.max_bytes_per_trigger,
         )
     return canonical_readings(records, params.event_time)
 

@@ -31,7 +31,9 @@ class JobParams:
     output_mode: str = "append"
     sink: str = "parquet"
     max_files_per_trigger: int | None = None
+    max_bytes_per_trigger: int | None = None
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
     output_files: int | None = None
     drop_malformed: bool = False
     console: bool = False
@@ -43,6 +45,8 @@ class JobParams:
             raise ValueError(f"sink must be one of {SINKS}, not {self.sink!r}")
         if self.source == "file" and not self.input_path:
             raise ValueError("a file source needs input_path")
+        if self.max_files_per_trigger and self.max_bytes_per_trigger:
+            raise ValueError("limit a trigger by files or by bytes, not by both")
         needed = "append" if self.sink == "parquet" else "update"
         if self.output_mode != needed:
             raise ValueError(f"the {self.sink} sink needs output_mode {needed!r}")

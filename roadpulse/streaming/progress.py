@@ -27,6 +27,7 @@ METRICS_TABLE = T.StructType(
         T.StructField("run_id", T.StringType()),
         T.StructField("has_speed", T.LongType()),
         T.StructField("has_count", T.LongType()),
+        T.StructField("dropped_late", T.LongType()),
     ]
 )
 
@@ -35,7 +36,8 @@ def metrics_row(progress, config: str) -> tuple | None:
     """A metrics row, or nothing for a batch without readings.
 
     ``rows`` are readings with an event time; the duration is that of the whole
-    trigger, not of a separate count.
+    trigger, not of a separate count. ``dropped_late`` counts what the watermark
+    kept out of the windows, after map-side combining.
     """
     counts = progress.observedMetrics.get(OBSERVATION)
     if counts is None or counts["total"] == 0:
@@ -52,6 +54,7 @@ def metrics_row(progress, config: str) -> tuple | None:
         str(progress.runId),
         counts["has_speed"],
         counts["has_count"],
+        sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators),
     )
 
 

@@ -44,6 +44,8 @@ def test_first_filled(spark):
         [("", "5", "6"), ("4", "5", None), (None, " ", None)], "`Total Flow` string, Flow string, z string"
     )
     assert [r[0] for r in frame.select(cells.first_filled(frame, FLOW_NAMES)).collect()] == ["5", "4", None]
+    unit = spark.createDataFrame([("", "3")], "Flow string, `Total Flow (Veh/5min)` string")
+    assert unit.select(cells.first_filled(unit, FLOW_NAMES)).first()[0] == "3"
     nothing = frame.select(cells.first_filled(frame, ["absent"]).alias("n"))
     assert nothing.schema["n"].dataType == T.StringType()
     assert {r[0] for r in nothing.collect()} == {None}

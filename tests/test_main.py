@@ -15,6 +15,10 @@ def test_from_raw_lines_to_reports(spark, tmp_path, capsys):
             for minute in range(40)
         )
     )
+    main(["convert", str(raw)])
+    converted = spark.read.option("header", True).csv(str(tmp_path / "day.csv"))
+    assert converted.count() == 40 and len(converted.columns) == 12
+
     main(["prepare", str(raw)])
     assert "unobserved" in capsys.readouterr().out
     cleaned = str(tmp_path / "day_final.csv")

@@ -64,6 +64,8 @@ def test_late_rows_are_dropped_two_batches_on(spark, tmp_path):
             sum(op.numRowsDroppedByWatermark for p in running.query.recentProgress for op in p.stateOperators)
         )
     assert dropped == [0, 0, 1, 0]
+    reported = read_metrics(spark, given.metrics_path).orderBy("batch_id").collect()
+    assert [row["dropped_late"] for row in reported] == dropped
     assert results(spark, given.output_path) == {("LA", 0): 10, ("LA", 300): 10, ("LA", 600): 10}
 
 
@@ -102,13 +104,22 @@ def test_metrics_rows(spark, tmp_path):
     job.run(spark, given)
     rows = read_metrics(spark, given.metrics_path).orderBy("batch_id").collect()
     assert [(row["batch_id"], row["rows"]) for row in rows] == [(0, 2), (1, 3)]
-    assert [(row["has_speed"], row["has_count"]) for row in rows] == [("1", "1"), ("3", "3")]
+    assert [(row["has_speed"], row["has_count"]) for row in rows] == [(1, 1), (3, 3)]
     assert {row["config"] for row in rows} == {"file|window=5 seconds|trigger=available-now"}
     for row in rows:
         assert row["duration_sec"] > 0
         assert row["throughput_rows_per_sec"] == pytest.approx(row["rows"] / row["duration_sec"], rel=1e-3)
 
 
+def test_trigger_limited_by_bytes(spark, tmp_path):
+    for name in "abc":
+        drop(tmp_path / "in", f"{name}.csv", line(0), line(60))
+        time.sleep(0.05)
+    job.run(spark, params(tmp_path, max_bytes_per_trigger=1))
+    rows = read_metrics(spark, str(tmp_path / "metrics")).collect()
+    assert sorted(row["rows"] for row in rows) == [2, 2, 2]
+
+
 def test_unwritable_metrics_do_not_stop_the_job(spark, tmp_path):
     (tmp_path / "metrics").write_text("a file, not a folder")
     given = params(tmp_path, metrics_path=str(tmp_path / "metrics" / "x"))
@@ -191,7 +202,7 @@ def test_kafka_job_uses_broker_time(spark, tmp_path, monkeypatch):
 
 
 def test_kafka_options():
-    options = kafka_options("a:1,b:2", "readings", max_offsets_per_trigger=1000)
+    options = kafka_options("a:1,b:2", "readings", max_offsets_per_trigger=1000, min_partitions=64)
     group = options.pop("groupIdPrefix")
     assert group != kafka_options("a:1", "readings")["groupIdPrefix"]
     assert options == {
@@ -199,6 +210,7 @@ def test_kafka_options():
         "subscribe": "readings",
         "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": "1000",
+        "minPartitions": "64",
     }
 
 
@@ -211,6 +223,7 @@ def test_kafka_options():
         ({"sink": "csv"}, "sink must be"),
         ({"source": "socket"}, "source must be"),
         ({"input_path": None}, "needs input_path"),
+        ({"max_files_per_trigger": 1, "max_bytes_per_trigger": 1}, "not by both"),
     ],
 )
 def test_bad_params(tmp_path, changes, message):
