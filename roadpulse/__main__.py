@@ -79,7 +79,9 @@ def main(arguments: list[str] | None = None) -> None:
         cleaning_audit(records).show(truncate=False)
     elif command == "chunks":
         records = read_station_csv(build_session(), options["input"])
-        assigned = assign_chunks(records, options["order"], options["chunk_size"])
+        assigned = assign_chunks(
+            records, options["order"], options["chunk_size"], from_scan=True
+        )
         write_chunks(assigned, options["output"])
     elif command == "traffic":
         tables = traffic_tables(build_session(), *options["aggregates"], top=options["top"])

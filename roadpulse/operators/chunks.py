@@ -12,7 +12,9 @@ from roadpulse.storage import materialise
 _PLACE_BITS = 33
 
 
-def assign_chunks(records: DataFrame, order: list[str], size: int = 5000) -> DataFrame:
+def assign_chunks(
+    records: DataFrame, order: list[str], size: int = 5000, from_scan: bool = False
+) -> DataFrame:
     """Add ``row_position`` (from 1, in ``order``) and ``chunk_id`` (from 1).
 
     The rows are range partitioned by ``order`` with a tie breaker, so equal
@@ -20,11 +22,16 @@ def assign_chunks(records: DataFrame, order: list[str], size: int = 5000) -> Dat
     rows are written once, which freezes those numbers; the count of rows before
     each partition then turns them into global positions. No task sees more than
     its range, and the broadcast side has one row per partition.
+
+    The tie breaker is a row's place in its input partition, which must be the
+    same when a lost task runs again. That holds for a scan of files, which
+    ``from_scan`` asserts; other input is written first.
     """
     if size < 1:
         raise ValueError("size must be at least 1")
+    stable = records if from_scan else materialise(records, "unchunked")
     ranged = (
-        records.withColumn("_tie", F.monotonically_increasing_id())
+        stable.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(*order, "_tie")
         .sortWithinPartitions(*order, "_tie")
         .drop("_tie")

@@ -1,4 +1,8 @@
-"""Questions asked of the window aggregates."""
+"""Questions asked of the window aggregates.
+
+The aggregates are meant to be a written table, such as the streaming job's
+output: pivots and rolling means read them more than once.
+"""
 
 from __future__ import annotations
 

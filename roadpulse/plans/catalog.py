@@ -239,7 +239,8 @@ def sink_csv(spark, sf_dir):
 @query
 def chunk_assign(spark, sf_dir):
     records = feeds.station_records(spark, sf_dir).select("event_id", "Timestamp", "Station")
-    return chunks.assign_chunks(records, ["Timestamp", "Station", "event_id"], 1000).select(
+    order = ["Timestamp", "Station", "event_id"]
+    return chunks.assign_chunks(records, order, 1000, from_scan=True).select(
         "event_id", "row_position", "chunk_id"
     )
 
@@ -248,9 +249,8 @@ def chunk_assign(spark, sf_dir):
 def sink_chunks(spark, sf_dir):
     path = fresh_path(spark, "chunks")
     records = feeds.station_records(spark, sf_dir).select("event_id", "Timestamp", "Station")
-    chunks.write_chunks(
-        chunks.assign_chunks(records, ["Timestamp", "Station", "event_id"], 1000), path
-    )
+    order = ["Timestamp", "Station", "event_id"]
+    chunks.write_chunks(chunks.assign_chunks(records, order, 1000, from_scan=True), path)
     written = spark.read.option("header", True).csv(path).select(
         F.col("chunk").cast("bigint").alias("chunk_id"),
         F.col("event_id").cast("bigint").alias("event_id"),

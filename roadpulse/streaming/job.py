@@ -7,6 +7,7 @@ queries over the same source.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
@@ -45,6 +46,8 @@ def stream_readings(spark: SparkSession, params: JobParams) -> DataFrame:
             params.input_path,
             max_files_per_trigger=params.max_files_per_trigger,
             max_bytes_per_trigger=params.max_bytes_per_trigger,
+            clean_source=params.clean_source,
+            archive_path=params.archive_path,
         )
     return canonical_readings(records, params.event_time)
 
@@ -125,10 +128,12 @@ def sweep(
     batches: int,
     configurations: list[tuple[str, str]] = SWEEP,
     readings: Callable[[], DataFrame] | None = None,
+    limit_seconds: float = 3600,
 ) -> None:
     """Run every (window, trigger) pair until it has done ``batches`` batches.
 
-    All runs add their rows to the base job's metrics, under their own label.
+    All runs add their rows to the base job's metrics, under their own label. A
+    pair without enough input ends at the time limit, with the rows it has.
     """
     for window, trigger in configurations:
         suffix = f"w{window}-t{trigger}".replace(" ", "")
@@ -140,10 +145,12 @@ def sweep(
             checkpoint_path=f"{base.checkpoint_path}/{suffix}",
         )
         job = start(spark, params, readings() if readings else None)
+        deadline = time.monotonic() + limit_seconds
         try:
             while not job.query.awaitTermination(0.2):
                 busy = job.query.status["isTriggerActive"]
-                if job.listener.batches_seen >= batches and not busy:
+                done = job.listener.batches_seen >= batches or time.monotonic() > deadline
+                if done and not busy:
                     break
         finally:
             job.stop()

@@ -32,6 +32,8 @@ class JobParams:
     sink: str = "parquet"
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: int | None = None
+    clean_source: str = "off"
+    archive_path: str | None = None
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     output_files: int | None = None

@@ -89,6 +89,8 @@ class MetricsListener(StreamingQueryListener):
             with self._lock:
                 self._rows.append(row)
                 self.batches_seen += 1
+            _, batch, rows, seconds, rate, *_ = row
+            log.info("%s, batch %d: %d rows, %.3f s, %.1f rows/s", self._config, batch, rows, seconds, rate)
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -36,7 +36,7 @@ def test_copies_spread_over_tasks(spark, monkeypatch):
         frame = spark.range(0, 30_000, numPartitions=6).select(
             F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id")).alias("k")
         )
-        got = assign_chunks(frame, ["k"], 1000)
+        got = assign_chunks(frame, ["k"], 1000, from_scan=True)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     sizes = {row["chunk_id"]: row["count"] for row in got.groupBy("chunk_id").count().collect()}

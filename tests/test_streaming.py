@@ -108,7 +108,7 @@ def test_metrics_rows(spark, tmp_path):
     assert {row["config"] for row in rows} == {"file|window=5 seconds|trigger=available-now"}
     for row in rows:
         assert row["duration_sec"] > 0
-        assert row["throughput_rows_per_sec"] == pytest.approx(row["rows"] / row["duration_sec"], rel=1e-3)
+        assert row["throughput_rows_per_sec"] == pytest.approx(row["rows"] / row["duration_sec"], abs=1e-3)
 
 
 def test_trigger_limited_by_bytes(spark, tmp_path):
@@ -238,6 +238,13 @@ def test_params_from_mapping():
         JobParams.from_mapping({"output_path": "o", "checkpoint_path": "c", "mode": "append"})
 
 
+def test_sweep_ends_without_input(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    began = time.monotonic()
+    job.sweep(spark, params(tmp_path), 1, [("5 seconds", "1 second")], limit_seconds=1)
+    assert time.monotonic() - began < 40
+
+
 def test_reports(spark, tmp_path, capfd):
     given = params(tmp_path, max_files_per_trigger=1)
     for number in range(3):
