@@ -36,6 +36,10 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
                 default=None if field.default is MISSING else field.default,
             )
 
+    watched = commands.add_parser("watch", help="print changing aggregates of typed CSV files")
+    watched.add_argument("input")
+    watched.add_argument("--trigger", default="20 seconds")
+
     converted = commands.add_parser("convert", help="name the columns of raw station files")
     converted.add_argument("input")
     converted.add_argument("--output")
@@ -69,6 +73,8 @@ def main(arguments: list[str] | None = None) -> None:
         params = JobParams.from_mapping(options)
         extra = {"spark.jars.packages": KAFKA_PACKAGE} if params.source == "kafka" else {}
         job.run(build_session(**extra), params)
+    elif command == "watch":
+        job.watch(build_session(), options["input"], options["trigger"]).awaitTermination()
     elif command == "convert":
         records = read_station_files(build_session(), options["input"])
         write_csv(records, options["output"] or default_csv_path(options["input"]))

@@ -22,9 +22,9 @@ def blank_to_null(text: Column) -> Column:
 
 
 def first_filled(rows: DataFrame, names: Sequence[str]) -> Column:
-    """First non-blank value among the named columns that ``rows`` has."""
+    """First non-blank value, as text, among the named columns that ``rows`` has."""
     known = set(rows.columns)
-    filled = [blank_to_null(F.col(name)) for name in names if name in known]
+    filled = [blank_to_null(F.col(name).cast("string")) for name in names if name in known]
     return F.coalesce(*filled, F.lit(None).cast("string"))
 
 

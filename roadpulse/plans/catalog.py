@@ -679,10 +679,8 @@ def stream_message_job(spark, sf_dir):
 @query
 def stream_typed_updates(spark, sf_dir):
     """Typed CSV files to rounded aggregates in update mode."""
-    records = sources.stream_station_files(spark, station_csv(spark, sf_dir), typed=True)
-    timed = readings.timed_records(records).withWatermark("ts", "10 seconds")
     log, checkpoint = fresh_path(spark, "updates"), fresh_path(spark, "updates-checkpoint")
-    stream = windows.typed_window_aggregate(timed, "5 seconds")
+    stream = job.typed_windowed_stream(spark, station_csv(spark, sf_dir))
     sinks.update_log_sink(stream, log, checkpoint, "available-now").start().awaitTermination()
     keys = ["region", "window_start", "window_end"]
     return sinks.latest_updates(spark.read.parquet(log), keys)

@@ -17,8 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.functions.labels import config_text
 from roadpulse.operators.payloads import decode_payload
-from roadpulse.operators.readings import canonical_readings, completeness
-from roadpulse.operators.windows import window_aggregate
+from roadpulse.operators.readings import canonical_readings, completeness, timed_records
+from roadpulse.operators.windows import typed_window_aggregate, window_aggregate
 from roadpulse.schemas import STATION_READING, SWEEP
 from roadpulse.sinks.console import console_sink
 from roadpulse.sinks.files import parquet_sink, update_log_sink
@@ -58,6 +58,21 @@ def windowed_stream(readings: DataFrame, window: str, watermark: str) -> DataFra
     return window_aggregate(observed.withWatermark("ts", watermark), window)
 
 
+def typed_windowed_stream(
+    spark: SparkSession, path: str, window: str = "5 seconds", watermark: str = "10 seconds"
+) -> DataFrame:
+    """Rounded window aggregate over typed CSV files, by the record's own region."""
+    records = timed_records(stream_station_files(spark, path, typed=True))
+    return typed_window_aggregate(records.withWatermark("ts", watermark), window)
+
+
+def watch(spark: SparkSession, path: str, trigger: str = "20 seconds") -> StreamingQuery:
+    """Print the rounded aggregate to the console as it changes."""
+    return console_sink(
+        typed_windowed_stream(spark, path), trigger, mode="update", rows=20
+    ).start()
+
+
 @dataclass
 class RunningJob:
     query: StreamingQuery

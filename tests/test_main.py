@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from roadpulse.__main__ import main
+from roadpulse.operators.cleaning import prepare
+from roadpulse.operators.readings import canonical_readings
+from roadpulse.operators.windows import window_aggregate
+from roadpulse.sources.files import read_station_files
 
 LINE = "11/06/2006 00:{minute:02d}:00,S1,7,5,S,ML,.452,30,{observed},{flow},.08,64.1,1,2,3,4,5"
 
@@ -36,7 +42,19 @@ def test_from_raw_lines_to_reports(spark, tmp_path, capsys):
     assert aggregates.count() == 31
     assert {row["region"] for row in aggregates.collect()} == {"LA"}
 
+    main(["watch", f"{chunks}/*", "--trigger", "available-now"])
     main(["traffic", out, "--output", str(tmp_path / "traffic")])
     assert spark.read.parquet(str(tmp_path / "traffic" / "peak_congestion")).count() == 5
     main(["system", metrics, "--output", str(tmp_path / "system")])
     assert spark.read.parquet(str(tmp_path / "system" / "latency_histogram")).count() == 20
+
+
+def test_batch_from_raw_lines(spark, tmp_path):
+    raw = tmp_path / "day.txt"
+    raw.write_text(
+        LINE.format(minute=0, observed=100, flow=12.7) + "\n" + LINE.format(minute=1, observed=0, flow=9) + "\n"
+    )
+    records = prepare(read_station_files(spark, str(raw)))
+    windows = window_aggregate(canonical_readings(records), "5 minutes")
+    got = windows.select("region", "avg_speed", "total_vehicles", F.col("window_start").cast("string")).collect()
+    assert [tuple(row) for row in got] == [("LA", 64.1, 12, "2006-11-06 00:00:00")]

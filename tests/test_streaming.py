@@ -101,7 +101,11 @@ def test_metrics_rows(spark, tmp_path):
     drop(tmp_path / "in", "a.csv", line(0), line(1, flow="", speed="x"), "no time,S1,7,,,,,,,,,,")
     time.sleep(0.05)
     drop(tmp_path / "in", "b.csv", line(100), line(101), line(102))
-    job.run(spark, given)
+    running = job.start(spark, given)
+    running.await_end()
+    # Metrics come without another scan or another copy of the state.
+    last = running.query.lastProgress
+    assert (len(last.sources), len(last.stateOperators)) == (1, 1)
     rows = read_metrics(spark, given.metrics_path).orderBy("batch_id").collect()
     assert [(row["batch_id"], row["rows"]) for row in rows] == [(0, 2), (1, 3)]
     assert [(row["has_speed"], row["has_count"]) for row in rows] == [(1, 1), (3, 3)]
