@@ -64,3 +64,19 @@ def test_one_ordered_file_per_chunk(spark, tmp_path):
 
 def test_no_rows(spark):
     assert assign_chunks(spark.range(0), ["id"], 5).count() == 0
+
+
+def test_shuffled_input_is_written_before_it_is_numbered(spark, monkeypatch):
+    labels = []
+
+    def note(rows, label):
+        labels.append(label)
+        return materialise(rows, label)
+
+    monkeypatch.setattr(chunks, "materialise", note)
+    frame = spark.range(20).repartition(4)
+    assert assign_chunks(frame, ["id"], 5).count() == 20
+    assert labels == ["unchunked", "chunks"]
+    labels.clear()
+    assert assign_chunks(materialise(frame, "scan"), ["id"], 5, from_scan=True).count() == 20
+    assert labels == ["chunks"]

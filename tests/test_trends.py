@@ -166,6 +166,39 @@ def test_window_aggregate(spark):
     }
 
 
+reading = st.tuples(
+    st.integers(0, 90),
+    st.sampled_from(["a", "b", None]),
+    st.one_of(st.none(), st.integers(0, 99)),
+    st.one_of(st.none(), st.integers(0, 40).map(float)),
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(reading, min_size=1, max_size=40), width=st.sampled_from([5, 10, 60]))
+def test_window_aggregate_equals_brute_force(spark, rows, width):
+    groups = {}
+    for second, region, count, speed in rows:
+        groups.setdefault((region, second // width * width), []).append((count, speed))
+    want = {}
+    for key, members in groups.items():
+        counts = [count for count, _ in members if count is not None]
+        speeds = [speed for _, speed in members if speed is not None]
+        mean = sum(speeds) / len(speeds) if speeds else None
+        total = sum(counts) if counts else None
+        index = total / mean if mean and total is not None else None
+        want[key] = (mean, total, index)
+    got = {}
+    for row in window_aggregate(readings(spark, rows), f"{width} seconds").collect():
+        assert row["window_end"] - row["window_start"] == dt.timedelta(seconds=width)
+        start = int((row["window_start"] - START).total_seconds())
+        got[row["region"], start] = (row["avg_speed"], row["total_vehicles"], row["congestion_index"])
+    assert got.keys() == want.keys()
+    for key, (mean, total, index) in want.items():
+        assert got[key][:2] == (pytest.approx(mean), total)
+        assert got[key][2] == (None if index is None else pytest.approx(index, abs=0.0051))
+
+
 def test_hot_key_is_combined_before_the_shuffle(spark):
     hot = spark.range(0, 300_000, numPartitions=4).select(
         F.lit(START).cast("timestamp_ntz").alias("ts"),
