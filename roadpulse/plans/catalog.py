@@ -1,8 +1,8 @@
 """The registered queries: one per operator, over the given tables.
 
 Each takes ``(spark, sf_dir)`` and returns a DataFrame. Floating-point results
-are rounded to six digits, since the order of a distributed sum is not fixed,
-and times are returned without a zone. Queries over files or streams write the
+of sums are rounded to six digits, since the order of a distributed sum is not
+fixed, and times are returned without a zone. Queries over files or streams write the
 files to the cluster's shared folder first.
 """
 
@@ -39,26 +39,31 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(plan: Query) -> Query:
+def query(plan: Query, digits: int | None = None) -> Query:
     """Register ``plan`` under its own name."""
 
     @wraps(plan)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         # The tables hold times without a zone; streams need times with one.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return presented(plan(spark, str(sf_dir).rstrip("/")))
+        return presented(plan(spark, str(sf_dir).rstrip("/")), digits)
 
     QUERIES[plan.__name__] = run
     return run
 
 
-def presented(rows: DataFrame) -> DataFrame:
+def measured(plan: Query) -> Query:
+    """Register a plan whose floating-point results come from sums."""
+    return query(plan, digits=6)
+
+
+def presented(rows: DataFrame, digits: int | None) -> DataFrame:
     def column(field: T.StructField) -> Column:
         value = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DoubleType):
-            value = rounded(value, 6)
-        elif isinstance(field.dataType, T.TimestampType):
+        if isinstance(field.dataType, T.TimestampType):
             value = value.cast("timestamp_ntz")
+        elif digits is not None and isinstance(field.dataType, T.DoubleType):
+            value = rounded(value, digits)
         return value.alias(field.name)
 
     return rows.select([column(field) for field in rows.schema])
@@ -178,14 +183,14 @@ def src_csv_batch(spark, sf_dir):
     return plain(sources.read_station_csv(spark, station_csv(spark, sf_dir)))
 
 
-@query
+@measured
 def src_parquet_parts(spark, sf_dir):
     path = fresh_path(spark, "aggregates")
     windows.window_aggregate(feeds.event_readings(spark, sf_dir), "1 hour").write.parquet(path)
     return sources.read_aggregates(spark, path)
 
 
-@query
+@measured
 def src_metrics(spark, sf_dir):
     path = fresh_path(spark, "metrics")
     sinks.write_csv(feeds.batch_metrics(spark, sf_dir), path)
@@ -202,7 +207,7 @@ def src_metrics_early(spark, sf_dir):
 # --- sinks -------------------------------------------------------------------
 
 
-@query
+@measured
 def sink_parquet_stream(spark, sf_dir):
     params = job_params(spark)
     job.run(spark, params, feeds.stream_event_readings(spark, sf_dir))
@@ -421,7 +426,7 @@ def payload_samples(spark, sf_dir):
 # --- batch metrics -------------------------------------------------------------
 
 
-@query
+@measured
 def metrics_normalise(spark, sf_dir):
     metrics = feeds.batch_metrics(spark, sf_dir).select(
         "batch_id",
@@ -480,24 +485,24 @@ def short_label(spark, sf_dir):
     )
 
 
-@query
+@measured
 def batch_size_by_config(spark, sf_dir):
     return stats.batch_size_by_config(
         stats.normalise_metrics(feeds.batch_metrics(spark, sf_dir))
     )
 
 
-@query
+@measured
 def latency_jitter(spark, sf_dir):
     return stats.latency_jitter(stats.normalise_metrics(feeds.batch_metrics(spark, sf_dir)))
 
 
-@query
+@measured
 def steady_state_summary(spark, sf_dir):
     return stats.steady_state_summary(feeds.batch_metrics(spark, sf_dir))
 
 
-@query
+@measured
 def warmup_drop(spark, sf_dir):
     parsed = stats.with_config_seconds(feeds.batch_metrics(spark, sf_dir))
     return stats.drop_warmup(parsed).select(
@@ -505,19 +510,19 @@ def warmup_drop(spark, sf_dir):
     )
 
 
-@query
+@measured
 def throughput_efficiency(spark, sf_dir):
     metrics = materialise(feeds.batch_metrics(spark, sf_dir), "metrics")
     return stats.throughput_efficiency(stats.normalise_metrics(metrics))
 
 
-@query
+@measured
 def latency_histogram(spark, sf_dir):
     metrics = materialise(feeds.batch_metrics(spark, sf_dir), "metrics")
     return stats.latency_histogram(stats.normalise_metrics(metrics))
 
 
-@query
+@measured
 def scaling_curve(spark, sf_dir):
     return stats.scaling_curve(stats.normalise_metrics(feeds.batch_metrics(spark, sf_dir)))
 
@@ -525,7 +530,7 @@ def scaling_curve(spark, sf_dir):
 # --- window aggregates and trends ------------------------------------------------
 
 
-@query
+@measured
 def congestion_index(spark, sf_dir):
     """The flagship: hourly speed, volume and congestion per region."""
     return windows.window_aggregate(feeds.event_readings(spark, sf_dir), "1 hour")
@@ -537,34 +542,34 @@ def _plain_aggregate(spark, sf_dir, width):
     )
 
 
-@query
+@measured
 def window_agg_5s(spark, sf_dir):
     return _plain_aggregate(spark, sf_dir, "5 seconds")
 
 
-@query
+@measured
 def window_agg_10s(spark, sf_dir):
     return _plain_aggregate(spark, sf_dir, "10 seconds")
 
 
-@query
+@measured
 def window_agg_1h(spark, sf_dir):
     return _plain_aggregate(spark, sf_dir, "1 hour")
 
 
-@query
+@measured
 def window_agg_shipments(spark, sf_dir):
     return windows.window_aggregate(feeds.shipment_readings(spark, sf_dir), "1 day")
 
 
-@query
+@measured
 def window_agg_dirty(spark, sf_dir):
     """From station records to aggregates, with a group of unknown region."""
     records = feeds.station_records(spark, sf_dir)
     return windows.window_aggregate(readings.canonical_readings(records), "1 hour")
 
 
-@query
+@measured
 def window_agg_rounded(spark, sf_dir):
     records = feeds.station_records(spark, sf_dir)
     typed = records.select(
@@ -575,29 +580,29 @@ def window_agg_rounded(spark, sf_dir):
     return windows.typed_window_aggregate(typed, "1 hour")
 
 
-@query
+@measured
 def pivot_avg_speed(spark, sf_dir):
     return trends.pivot_by_region(feeds.hourly_aggregates(spark, sf_dir), "avg_speed")
 
 
-@query
+@measured
 def pivot_total_vehicles(spark, sf_dir):
     return trends.pivot_by_region(feeds.hourly_aggregates(spark, sf_dir), "total_vehicles")
 
 
-@query
+@measured
 def pivot_congestion(spark, sf_dir):
     return trends.pivot_by_region(feeds.hourly_aggregates(spark, sf_dir), "congestion_index")
 
 
-@query
+@measured
 def congestion_vs_speed(spark, sf_dir):
     records = feeds.station_records(spark, sf_dir)
     aggregates = windows.window_aggregate(readings.canonical_readings(records), "1 hour")
     return trends.congestion_against_speed(aggregates)
 
 
-@query
+@measured
 def rolling_mean_3(spark, sf_dir):
     return trends.rolling_measures(feeds.hourly_aggregates(spark, sf_dir)).select(
         "region", "window_start", "avg_speed_roll", "congestion_roll"
@@ -610,29 +615,29 @@ def _rolling_table(spark, sf_dir):
     )
 
 
-@query
+@measured
 def pivot_rolling_speed(spark, sf_dir):
     return trends.pivot_by_region(_rolling_table(spark, sf_dir), "avg_speed_roll")
 
 
-@query
+@measured
 def pivot_rolling_congestion(spark, sf_dir):
     return trends.pivot_by_region(_rolling_table(spark, sf_dir), "congestion_roll")
 
 
-@query
+@measured
 def sorted_aggregates(spark, sf_dir):
     aggregates = windows.window_aggregate(feeds.event_readings(spark, sf_dir), "1 hour")
     return trends.sorted_aggregates(aggregates)
 
 
-@query
+@measured
 def peak_congestion(spark, sf_dir):
     aggregates = windows.window_aggregate(feeds.event_readings(spark, sf_dir), "1 hour")
     return trends.peak_congestion(aggregates)
 
 
-@query
+@measured
 def union_all_sources(spark, sf_dir):
     paths = [fresh_path(spark, "aggregates") for _ in range(2)]
     for source, path in zip((feeds.event_readings, feeds.shipment_readings), paths):
@@ -650,13 +655,13 @@ def stream_watermark(spark, sf_dir):
     return drained(spark, stream)
 
 
-@query
+@measured
 def stream_window_agg(spark, sf_dir):
     stream = feeds.stream_event_readings(spark, sf_dir)
     return drained(spark, job.windowed_stream(stream, "10 seconds", "20 seconds"))
 
 
-@query
+@measured
 def stream_station_job(spark, sf_dir):
     """The whole job from CSV files to aggregates."""
     params = job_params(spark, input_path=station_csv(spark, sf_dir))
@@ -664,7 +669,7 @@ def stream_station_job(spark, sf_dir):
     return sources.read_aggregates(spark, params.output_path)
 
 
-@query
+@measured
 def stream_message_job(spark, sf_dir):
     """From JSON messages to aggregates by broker time."""
     inbox = fresh_path(spark, "messages")
@@ -676,7 +681,7 @@ def stream_message_job(spark, sf_dir):
     return sources.read_aggregates(spark, params.output_path)
 
 
-@query
+@measured
 def stream_typed_updates(spark, sf_dir):
     """Typed CSV files to rounded aggregates in update mode."""
     log, checkpoint = fresh_path(spark, "updates"), fresh_path(spark, "updates-checkpoint")
@@ -686,7 +691,7 @@ def stream_typed_updates(spark, sf_dir):
     return sinks.latest_updates(spark.read.parquet(log), keys)
 
 
-@query
+@measured
 def stream_late_data(spark, sf_dir):
     """Errors of the first ten days arrive last and are dropped as late."""
     events = feeds.event_readings(spark, sf_dir)
@@ -703,7 +708,7 @@ def stream_late_data(spark, sf_dir):
     return _in_turns(spark, arrivals)
 
 
-@query
+@measured
 def stream_resume(spark, sf_dir):
     """Stopped after the first half, resumed from the checkpoint for the rest."""
     events = feeds.event_readings(spark, sf_dir)
@@ -722,7 +727,7 @@ def _in_turns(spark: SparkSession, arrivals: list[DataFrame]) -> DataFrame:
     return sources.read_aggregates(spark, params.output_path)
 
 
-@query
+@measured
 def stream_update_mode(spark, sf_dir):
     """The state after all updates, windows still open included."""
     params = job_params(spark, sink="updates", output_mode="update")
