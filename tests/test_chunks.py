@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.operators import chunks
 from roadpulse.operators.chunks import assign_chunks, write_chunks
+from roadpulse.sinks.files import write_csv
 from roadpulse.storage import materialise
 
 
@@ -80,3 +81,9 @@ def test_shuffled_input_is_written_before_it_is_numbered(spark, monkeypatch):
     labels.clear()
     assert assign_chunks(materialise(frame, "scan"), ["id"], 5, from_scan=True).count() == 20
     assert labels == ["chunks"]
+
+
+def test_loose_chunks_need_no_shuffle(spark, tmp_path):
+    write_csv(spark.range(25, numPartitions=2), str(tmp_path / "loose"), max_rows_per_file=10)
+    sizes = [len(file.read_text().splitlines()) - 1 for file in (tmp_path / "loose").glob("*.csv")]
+    assert sum(sizes) == 25 and max(sizes) <= 10
