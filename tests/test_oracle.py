@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import canonical, oracle_rows
+from roadpulse.plans.catalog import QUERIES
+from roadpulse.plans.oracle import ORACLE
 
 # Spark type names and the DuckDB types they must meet.
 TYPES = {
@@ -18,13 +20,13 @@ TYPES = {
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, small, name):
-    frame = queries()[name](spark, small)
-    names, rows, kinds = oracle_rows(small, oracle_sql()[name])
+    frame = QUERIES[name](spark, small)
+    names, rows, kinds = oracle_rows(small, ORACLE[name])
     assert {c: TYPES[t] for c, t in frame.dtypes} == dict(zip(names, kinds))
     got = canonical(frame.columns, frame.collect())
     want = canonical(names, rows)
