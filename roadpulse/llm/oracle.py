@@ -41,3 +41,35 @@ select p.doc_id, p.size, t.source_size, t.target,
      * p.size)::bigint as taken
 from placed p join targets t on p.source is not distinct from t.source
 """
+
+ORACLE["op3_odd_sketch_dedup"] = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w
+    from documents
+), shingles as (
+    select distinct doc_id, unnest(
+        case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+            else [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] end) as s
+    from words
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), links as (
+    select a.doc_id as a, b.doc_id as b
+    from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+    group by a.doc_id, b.doc_id
+    having 100 * count(*) >= 85 * ((select n from sizes where doc_id = a.doc_id)
+        + (select n from sizes where doc_id = b.doc_id) - count(*))
+), both_ways as (
+    select a, b from links union all select b, a from links
+), reach as (
+    select doc_id as a, doc_id as b from documents
+    union
+    select r.a, l.b from reach r join both_ways l on r.b = l.a
+), smallest as (
+    select a as doc_id, min(b) as component_id from reach group by a
+)
+select d.doc_id, coalesce(z.n, 0)::bigint as n_shingles, s.component_id, s.component_id = d.doc_id as kept
+from documents d join smallest s using (doc_id) left join sizes z using (doc_id)
+"""
