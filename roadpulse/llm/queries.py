@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import mixing, near_dup
+from roadpulse.llm import mixing, near_dup, pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,3 +36,8 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
