@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
+import roadpulse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +21,25 @@ BATCH_ROWS = 128
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches of the plans made next; a smaller bound set by the caller stays."""
+def for_python(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Make ready for plans with Python in their tasks.
+
+    Bounds the Arrow batches of the plans made next (a smaller bound set by the
+    caller stays), and hands this package to the executors, once per session.
+    """
     now = int(spark.conf.get(_BATCH_SETTING))
     if now <= 0 or now > rows:
         spark.conf.set(_BATCH_SETTING, str(rows))
+    context = spark.sparkContext
+    if getattr(context, "_roadpulse_shipped", False):
+        return
+    folder = Path(roadpulse.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="roadpulse-")) / "roadpulse.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(folder.rglob("*.py")):
+            file.write(source, source.relative_to(folder.parent))
+    context.addPyFile(str(archive))
+    context._roadpulse_shipped = True
 
 
 def only(table: DataFrame, **columns: str | Column) -> DataFrame:

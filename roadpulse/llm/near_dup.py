@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.components import components
-from roadpulse.llm.frames import only, small_batches
+from roadpulse.llm.frames import only, for_python
 from roadpulse.llm.words import mix, shingle_sets
 from roadpulse.storage import materialise
 
@@ -164,7 +164,7 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     them as a table that Spark splits where a key is hot.
     """
     spark = documents.sparkSession
-    small_batches(spark)
+    for_python(spark)
     texts = only(documents, doc_id=documents["doc_id"].cast("bigint"), text="text")
     features = materialise(texts.mapInArrow(_features(shingle), FEATURES), "near-features")
 

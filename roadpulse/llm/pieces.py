@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.frames import only, small_batches
+from roadpulse.llm.frames import only, for_python
 
 SPACE = "▁"
 # What a Python worker remembers: segmentations of short words, about 100 MB, and
@@ -208,7 +208,7 @@ def encoded(documents: DataFrame, model_file: str | None = None, kind: str = "bp
     read by the driver; ``kind`` is ``bpe`` or ``unigram``.
     """
     spark = documents.sparkSession
-    small_batches(spark)
+    for_python(spark)
     codec = _shared_model(spark, model_file, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +229,7 @@ def encoded(documents: DataFrame, model_file: str | None = None, kind: str = "bp
 
 def decoded(rows: DataFrame, model_file: str | None = None, kind: str = "bpe") -> DataFrame:
     """``rows`` with ``decoded``, the text of their ``ids``; null ids give a null text."""
-    small_batches(rows.sparkSession)
+    for_python(rows.sparkSession)
     codec = _shared_model(rows.sparkSession, model_file, kind)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import mixing, near_dup, pieces
+from roadpulse.llm import language, mixing, near_dup, pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +38,16 @@ def op3_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+@query
+def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(language.fold(documents["doc_id"]) == language.HELD_OUT_FOLD, F.lit(False))
+    learn = documents.filter(documents["doc_id"].isNotNull() & ~held_out)
+    found = language.identified(documents, learn)
+    held_out = F.coalesce(language.fold(F.col("doc_id")) == language.HELD_OUT_FOLD, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"))
