@@ -24,13 +24,14 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 def for_python(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Make ready for plans with Python in their tasks.
 
-    Bounds the Arrow batches of the plans made next (a smaller bound set by the
+    Bounds the Arrow batches of the plans run next (a smaller bound set by the
     caller stays), and hands this package to the executors, once per session.
     """
+    context = spark.sparkContext
     now = int(spark.conf.get(_BATCH_SETTING))
-    if now <= 0 or now > rows:
+    if now <= 0 or now > rows or now == getattr(context, "_roadpulse_batch", None):
         spark.conf.set(_BATCH_SETTING, str(rows))
-    context = spark.sparkContext
+        context._roadpulse_batch = rows
     if getattr(context, "_roadpulse_shipped", False):
         return
     folder = Path(roadpulse.__file__).parent

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import language, mixing, near_dup, pieces
+from roadpulse.llm import language, mixing, near_dup, pieces, token_files
+from roadpulse.storage import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +52,10 @@ def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path)
+    return token_files.read_token_files(spark, path)
