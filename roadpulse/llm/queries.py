@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import language, mixing, near_dup, pieces, token_files
+from roadpulse.llm import language, mixing, near_dup, pieces, pii, token_files
 from roadpulse.storage import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
     return token_files.read_token_files(spark, path)
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
