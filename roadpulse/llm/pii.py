@@ -30,7 +30,7 @@ from roadpulse.storage import materialise
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("shape", "check", "gazetteer", "context", "edge")
-FEATURES = ("size", "digits", "before", "after", "word")
+FEATURES = ("size", "digits", "before", "after", "word", "valid")
 ROUNDS = 30
 
 # The patterns of the contract, written without repeated groups that
@@ -178,6 +178,7 @@ def _spans(documents: DataFrame, key: str) -> DataFrame:
         F.floor(4 * n_digits / size).cast("string").alias("digits"),
         look(before).alias("before"), look(after).alias("after"),
         F.pmod(F.xxhash64(word), F.lit(32)).cast("string").alias("word"),
+        F.coalesce(valid, F.lit(False)).cast("string").alias("valid"),
     )
     # A loose span goes if it overlaps a base one.
     by_start = Window.partitionBy(key).orderBy("start", F.col("base").desc())
