@@ -73,3 +73,62 @@ with recursive words as (
 select d.doc_id, coalesce(z.n, 0)::bigint as n_shingles, s.component_id, s.component_id = d.doc_id as kept
 from documents d join smallest s using (doc_id) left join sizes z using (doc_id)
 """
+
+_IMATCH_PRINT = r"""
+    list_concat(
+        [case when len(w) > 0 then substr(md5(array_to_string([x.term for x in w], ' ')), 1, 16)
+            else 'x' || substr(md5(body), 1, 15) end],
+        [case when len([x for x in w if x.h1 % 8 = i]) > 0
+            then substr(md5(array_to_string([x.term for x in w if x.h1 % 8 = i], ' ')), 1, 16) else '' end
+            for i in range(0, 8)],
+        [case when len([x for x in w if x.h2 % 64 = i]) > 0
+            then substr(md5(array_to_string([x.term for x in w if x.h2 % 64 = i], ' ')), 1, 16) else '' end
+            for i in range(0, 8)],
+        [case when len([x for x in w if x.h3 % 512 = i]) > 0
+            then substr(md5(array_to_string([x.term for x in w if x.h3 % 512 = i], ' ')), 1, 16) else '' end
+            for i in range(0, 8)])
+"""
+_IMATCH_TERMS = r"""list_distinct(regexp_extract_all(
+    translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))"""
+ORACLE["op5_imatch"] = f"""
+with docs as (
+    select doc_id, coalesce(text, '') as text from documents
+), edited as (
+    select doc_id, text, length(text) as n,
+        coalesce(lead(text) over (order by doc_id), first_value(text) over (order by doc_id)) as next_text,
+        coalesce(lead(doc_id) over (order by doc_id), first_value(doc_id) over (order by doc_id)) as next_id
+    from docs
+), bodies as (
+    select doc_id, 0 as kind, text as body from edited
+    union all
+    select doc_id, 1, left(text, n - n // 4) || left(next_text, n // 4) from edited
+), spread as (
+    select doc_id, kind, unnest({_IMATCH_TERMS.format('body')}) as term from bodies
+), lexicon as (
+    select term, ('0x' || substr(md5(term), 1, 4))::bigint as h1, ('0x' || substr(md5(term), 5, 4))::bigint as h2,
+        ('0x' || substr(md5(term), 9, 4))::bigint as h3
+    from spread where kind = 0 group by term
+    having count(*) between greatest(2, (select ceil(count(*) / 1000) from docs))
+        and greatest(2, (select count(*) // 5 from docs))
+), kept as (
+    select doc_id, kind, list(struct_pack(term := term, h1 := h1, h2 := h2, h3 := h3) order by term) as w
+    from spread join lexicon using (term) group by doc_id, kind
+), prints as (
+    select b.doc_id, b.kind, b.body, coalesce(k.w, []) as w
+    from bodies b left join kept k on k.doc_id = b.doc_id and k.kind = b.kind
+), hashed as (
+    select doc_id, kind, body, {_IMATCH_PRINT} as p from prints
+), lined as (
+    select e.doc_id, e.n, x.body as edited, a.p as p, x.p as q, c.p as r
+    from edited e join hashed a on a.doc_id = e.doc_id and a.kind = 0
+    join hashed x on x.doc_id = e.doc_id and x.kind = 1
+    join hashed c on c.doc_id = e.next_id and c.kind = 0
+)
+select doc_id, n::bigint as n_chars, sha256(edited) as edited_sha256,
+    array_to_string(p, '-') as fingerprint, array_to_string(q, '-') as edited_fingerprint,
+    len([i for i in range(1, 26) if p[i] != '' and p[i] = q[i]])::double
+        / len([i for i in range(1, 26) if p[i] != '' or q[i] != ''])::double as near_edited,
+    len([i for i in range(1, 26) if p[i] != '' and p[i] = r[i]])::double
+        / len([i for i in range(1, 26) if p[i] != '' or r[i] != ''])::double as near_next
+from lined
+"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import language, mixing, near_dup, pieces, pii, token_files
+from roadpulse.llm import imatch, language, mixing, near_dup, pieces, pii, token_files
 from roadpulse.storage import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edit_test(table(spark, sf_dir, "documents"))
