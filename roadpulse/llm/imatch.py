@@ -22,7 +22,7 @@ from roadpulse.storage import materialise
 # A term is in the lexicon if at least one document in LEAST_OF has it, two anyway,
 # and no more than one in MOST_OF.
 LEAST_OF, MOST_OF = 1000, 5
-RATES, SETS = (8, 64, 512), 8
+RATES, SETS = (32, 128, 512), 16
 # All documents have their distinct terms, so no more than LEAST_OF times their mean
 # number can each be in one of LEAST_OF documents. The lexicon is held by every task;
 # a corpus of books would need a larger LEAST_OF share and fails here instead.

@@ -78,15 +78,15 @@ _IMATCH_PRINT = r"""
     list_concat(
         [case when len(w) > 0 then substr(md5(array_to_string([x.term for x in w], ' ')), 1, 16)
             else 'x' || substr(md5(body), 1, 15) end],
-        [case when len([x for x in w if x.h1 % 8 = i]) > 0
-            then substr(md5(array_to_string([x.term for x in w if x.h1 % 8 = i], ' ')), 1, 16) else '' end
-            for i in range(0, 8)],
-        [case when len([x for x in w if x.h2 % 64 = i]) > 0
-            then substr(md5(array_to_string([x.term for x in w if x.h2 % 64 = i], ' ')), 1, 16) else '' end
-            for i in range(0, 8)],
+        [case when len([x for x in w if x.h1 % 32 = i]) > 0
+            then substr(md5(array_to_string([x.term for x in w if x.h1 % 32 = i], ' ')), 1, 16) else '' end
+            for i in range(0, 16)],
+        [case when len([x for x in w if x.h2 % 128 = i]) > 0
+            then substr(md5(array_to_string([x.term for x in w if x.h2 % 128 = i], ' ')), 1, 16) else '' end
+            for i in range(0, 16)],
         [case when len([x for x in w if x.h3 % 512 = i]) > 0
             then substr(md5(array_to_string([x.term for x in w if x.h3 % 512 = i], ' ')), 1, 16) else '' end
-            for i in range(0, 8)])
+            for i in range(0, 16)])
 """
 _IMATCH_TERMS = r"""list_distinct(regexp_extract_all(
     translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))"""
@@ -126,9 +126,9 @@ with docs as (
 )
 select doc_id, n::bigint as n_chars, sha256(edited) as edited_sha256,
     array_to_string(p, '-') as fingerprint, array_to_string(q, '-') as edited_fingerprint,
-    len([i for i in range(1, 26) if p[i] != '' and p[i] = q[i]])::double
-        / len([i for i in range(1, 26) if p[i] != '' or q[i] != ''])::double as near_edited,
-    len([i for i in range(1, 26) if p[i] != '' and p[i] = r[i]])::double
-        / len([i for i in range(1, 26) if p[i] != '' or r[i] != ''])::double as near_next
+    len([i for i in range(1, 50) if p[i] != '' and p[i] = q[i]])::double
+        / len([i for i in range(1, 50) if p[i] != '' or q[i] != ''])::double as near_edited,
+    len([i for i in range(1, 50) if p[i] != '' and p[i] = r[i]])::double
+        / len([i for i in range(1, 50) if p[i] != '' or r[i] != ''])::double as near_next
 from lined
 """
