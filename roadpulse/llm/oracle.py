@@ -132,3 +132,25 @@ select doc_id, n::bigint as n_chars, sha256(edited) as edited_sha256,
         / len([i for i in range(1, 50) if p[i] != '' or r[i] != ''])::double as near_next
 from lined
 """
+
+ORACLE["op6_substring_dedup"] = r"""
+with words as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), starts as (
+    select doc_id, unnest(range(1, len(w) - 11)) as spot, unnest([array_to_string(w[i:i + 12], ' ')
+        for i in range(1, len(w) - 11)]) as passage
+    from words where len(w) >= 13
+), repeated as (
+    select doc_id, spot from (
+        select doc_id, spot, min(doc_id) over (partition by passage) as first_id from starts
+    ) where doc_id > first_id
+), covered as (
+    select distinct doc_id, unnest(range(spot, spot + 13)) as spot from repeated
+), gone as (
+    select doc_id, list(spot) as places, count(*) as n from covered group by doc_id
+)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(g.n, 0)::bigint as n_removed,
+    sha256(array_to_string(case when g.n is null then d.w
+        else [x for x, i in d.w if not list_contains(g.places, i)] end, ' ')) as kept_sha256
+from words d left join gone g using (doc_id)
+"""

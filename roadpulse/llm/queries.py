@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import imatch, language, mixing, near_dup, pieces, pii, token_files
+from roadpulse.llm import imatch, language, mixing, near_dup, pieces, pii, substring_dedup, token_files
 from roadpulse.storage import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,9 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.edit_test(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
