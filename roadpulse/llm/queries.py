@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import imatch, language, mixing, near_dup, pieces, pii, substring_dedup, token_files
+from roadpulse.llm import imatch, language, mixing, near_dup, page_text, pieces, pii, substring_dedup, token_files
 from roadpulse.storage import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,9 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = page_text.main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
