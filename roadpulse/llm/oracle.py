@@ -154,3 +154,17 @@ select d.doc_id, len(d.w)::bigint as n_words, coalesce(g.n, 0)::bigint as n_remo
         else [x for x, i in d.w if not list_contains(g.places, i)] end, ' ')) as kept_sha256
 from words d left join gone g using (doc_id)
 """
+
+ORACLE["op2_voronoi_knn"] = r"""
+with vectors as (
+    select vec_id, [floor(256 * x::double)::bigint for x in embedding] as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+        and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id, list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)])::bigint as score
+    from vectors q join vectors c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+)
+select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
+from scored qualify rank <= 5
+"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import imatch, language, mixing, near_dup, page_text, pieces, pii, substring_dedup, token_files
+from roadpulse.llm import imatch, knn, language, mixing, near_dup, page_text, pieces, pii, substring_dedup, token_files
 from roadpulse.storage import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
