@@ -15,7 +15,7 @@ back by one order. Texts are scored whole, a million bytes at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -221,9 +221,11 @@ def train(documents: DataFrame) -> Model:
     })
 
 
-def identified(documents: DataFrame, learn_from: DataFrame) -> DataFrame:
+def identified(documents: DataFrame, learn_from: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """``doc_id, lang_pred, score, bits_per_byte``, one row per row of ``documents``.
 
+    Columns named in ``carry`` come along as ``in_0``, ``in_1`` and so on.
+
     ``lang_pred`` is a language of ``learn_from`` (see ``train``), of which the text is
     most likely; ``score`` is its probability if all languages are equally likely
     beforehand. Null, empty and letterless texts are ``und`` with score 0, as is
@@ -249,16 +251,35 @@ def identified(documents: DataFrame, learn_from: DataFrame) -> DataFrame:
                 rate = least / np.maximum([len(t) for t in texts], 1)
                 found = [model.languages[i] if ok else None for i, ok in zip(best, named, strict=True)]
             columns = [batch.column("doc_id"), pa.array(found, pa.string()), pa.array(score), pa.array(rate)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "found", "score", "bits_per_byte"])
+            names = ["doc_id", "found", "score", "bits_per_byte", *extra]
+            yield pa.RecordBatch.from_arrays([*columns, *map(batch.column, extra)], names=names)
 
     has_letter = F.coalesce(documents["text"].rlike(r"\p{L}"), F.lit(False))
-    rows = only(documents, doc_id="doc_id", text="text", has_letter=has_letter)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"doc_id {kind}, found string, score double, bits_per_byte double")
+    extra = {f"in_{i}": name for i, name in enumerate(carry)}
+    rows = only(documents, doc_id="doc_id", text="text", has_letter=has_letter, **extra)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = f"doc_id {kinds['doc_id']}, found string, score double, bits_per_byte double"
+    scored = rows.mapInArrow(run, ", ".join([schema, *[f"{c} {kinds[c]}" for c in extra]]))
     known = F.col("found").isNotNull()
     return scored.select(
         "doc_id",
         F.coalesce("found", F.lit(UNKNOWN)).alias("lang_pred"),
         F.when(known, F.col("score")).otherwise(0.0).alias("score"),
         "bits_per_byte",
+        *extra,
+    )
+
+
+def labelled(documents: DataFrame, learn_from: DataFrame) -> DataFrame:
+    """``documents`` in a learned language, with ``lang`` as identified; all columns kept.
+
+    Rejected are texts that are null or have no letter, and those for which even the best
+    language takes more than ``MAX_BITS_PER_BYTE``. If no language was learned, all are.
+    """
+    names = documents.columns
+    found = identified(documents, learn_from, carry=names)
+    known = F.col("lang_pred") != UNKNOWN
+    kept = found.filter(known & (F.col("bits_per_byte") <= MAX_BITS_PER_BYTE))
+    return kept.select(
+        *[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"in_{i}").alias(c) for i, c in enumerate(names)]
     )
