@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Batch shuffles start this wide and AQE merges what is too small: at 100 TB
+    # the default of 200 would mean 500 GB per task. Streams do not use it.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),

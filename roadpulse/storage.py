@@ -30,8 +30,45 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop path and the file system it is in, whatever the store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = _file_system(spark, path)
+    return files.exists(where)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder."""
+    where, files = _file_system(spark, path)
+    return sorted(status.getPath().getName() for status in files.listStatus(where))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+
+
+# Paths handed out, by application, until they are cleaned.
+_handed_out: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/roadpulse/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; ``clean``, or the end of the session, deletes what is there."""
+    path = f"{shared_folder(spark)}/roadpulse/{label}-{uuid.uuid4().hex}"
+    where, files = _file_system(spark, path)
+    files.deleteOnExit(where)
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; nothing may read them any more."""
+    for path in _handed_out.pop(spark.sparkContext.applicationId, []):
+        delete(spark, path)
 
 
 def materialise(rows: DataFrame, label: str) -> DataFrame:

@@ -19,6 +19,7 @@ def spark():
         "spark.master": "local[8]",
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
         "spark.driver.memory": "4g",
     }
     session = build_session("roadpulse-tests", **settings)
