@@ -6,17 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def rounded(value: Column, digits: int = 2) -> Column:
-    """Round half up, the same for every partitioning of the input.
-
-    A distributed sum differs in its last bits from run to run, which would
-    decide how a value half-way between two results is rounded. Those bits are
-    cut off first. Infinite values are left to plain rounding.
-    """
-    steady = F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
-    return F.coalesce(steady, F.round(value, digits))
-
-
 def congestion(vehicles: Column, speed: Column) -> Column:
     """Vehicles per unit of speed to two digits, NULL where nothing moves."""
-    return F.when(speed > 0, rounded(vehicles / speed))
+    return F.when(speed > 0, F.round(vehicles / speed, 2))

@@ -50,22 +50,25 @@ def drop_warmup(metrics: DataFrame, run: str | None = None) -> DataFrame:
     Runs of one pair are pooled, so one row goes per pair; name a ``run`` column
     to drop one per run instead.
 
-    The first batch is a map-side combined minimum, removed by its unique row
-    id: no task sorts the batches of a pair. The rows are written once, so that
-    the ids are the same in both branches.
+    The first batch has the smallest number, then time, then row id, each a hashed
+    minimum that combines on the map side; a number or time that is missing comes
+    last. The rows are written once, so that the ids are the same in all branches.
     """
     keys = ["window_seconds", "trigger_seconds", *([run] if run else [])]
     kept = materialise(metrics.withColumn("_row", F.monotonically_increasing_id()), "metrics")
-    # A missing batch number sorts last, as does a missing time.
-    order = F.struct(
-        F.col("batch_id").isNull(),
-        "batch_id",
-        F.col("timestamp").isNull(),
-        "timestamp",
+    time = F.unix_micros(F.col("timestamp").try_cast("timestamp"))
+    first = kept.select(
+        *keys,
+        F.coalesce(F.col("batch_id").cast("double"), F.lit(float("inf"))).alias("_batch"),
+        F.coalesce(time, F.lit(2**63 - 1)).alias("_time"),
         "_row",
     )
-    first = kept.groupBy(*keys).agg(F.min(order).alias("first"))
-    return kept.join(first.select(F.col("first._row").alias("_row")), "_row", "left_anti").drop("_row")
+    for order in ("_batch", "_time", "_row"):
+        least = first.groupBy(*keys).agg(F.min(order).alias("_least"))
+        same = [F.col(f"first.{k}").eqNullSafe(F.col(f"least.{k}")) for k in keys]
+        at_least = F.col(f"first.{order}") == F.col("least._least")
+        first = first.alias("first").join(least.alias("least"), [*same, at_least], "left_semi")
+    return kept.join(first.select("_row"), "_row", "left_anti").drop("_row")
 
 
 def steady_state_summary(metrics: DataFrame, run: str | None = None) -> DataFrame:
@@ -85,7 +88,14 @@ def steady_state_summary(metrics: DataFrame, run: str | None = None) -> DataFram
             F.avg("throughput_rows_per_sec").alias("avg_throughput"),
             F.count("batch_id").alias("batches"),
         )
-        .withColumn("short_label", short_label(F.col("window_seconds"), F.col("trigger_seconds")))
+        .select(
+            "window_seconds",
+            "trigger_seconds",
+            "batches",
+            "avg_duration_sec",
+            "avg_throughput",
+            short_label(F.col("window_seconds"), F.col("trigger_seconds")).alias("short_label"),
+        )
         .orderBy("window_seconds", "trigger_seconds")
     )
 

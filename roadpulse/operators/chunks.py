@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,10 +15,13 @@ _PLACE_BITS = 33
 
 
 def assign_chunks(
-    records: DataFrame, order: list[str], size: int = 5000, from_scan: bool = False
+    records: DataFrame, order: Sequence[str] | None = None, size: int = 5000, from_scan: bool = False
 ) -> DataFrame:
     """Add ``row_position`` (from 1, in ``order``) and ``chunk_id`` (from 1).
 
+    Without ``order`` rows stay as they are in the files that ``records`` are a scan
+    of: by file path, then place in the file.
+
     The rows are range partitioned by ``order`` with a tie breaker, so equal
     keys may spread over tasks, and numbered inside their partition. The ranged
     rows are written once, which freezes those numbers; the count of rows before
@@ -29,6 +34,8 @@ def assign_chunks(
     """
     if size < 1:
         raise ValueError("size must be at least 1")
+    if not order:
+        return _in_input_order(records, size)
     stable = records if from_scan else materialise(records, "unchunked")
     ranged = (
         stable.withColumn("_tie", F.monotonically_increasing_id())
@@ -53,6 +60,18 @@ def assign_chunks(
     )
 
 
+def _in_input_order(records: DataFrame, size: int) -> DataFrame:
+    """A split of a file is read in order, and ids rise within it."""
+    names = ["_file", "_block", "_line"]
+    placed = records.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    return assign_chunks(placed, names, size, from_scan=True).drop(*names)
+
+
 def write_chunks(assigned: DataFrame, path: str) -> None:
     """One CSV file with header per chunk, its rows in order.
 

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.cells import region_of, station_time_to_iso, to_number
-from roadpulse.functions.measures import rounded
 from roadpulse.schemas import BASE_COLUMNS, HOME_REGION
 
 
@@ -117,7 +116,7 @@ def _is_zero(number: Column) -> Column:
 
 
 def _audit_line(step: int, rule: str, removed: Column, remaining: Column) -> Column:
-    share = F.when(F.col("total") > 0, rounded(removed * 100.0 / F.col("total"), 1))
+    share = F.when(F.col("total") > 0, F.round(removed * 100.0 / F.col("total"), 1))
     return F.struct(
         F.lit(step).alias("step"),
         F.lit(rule).alias("rule"),

@@ -37,15 +37,37 @@ def regions_with(aggregates: DataFrame, metric: str, limit: int = MAX_REGIONS) -
     return sorted(row["region"] for row in rows)
 
 
+def regions_by_metric(aggregates: DataFrame, metrics: Sequence[str], limit: int = MAX_REGIONS) -> dict[str, list[str]]:
+    """``regions_with`` for several metrics in one pass."""
+    has = [F.max(F.col(m).isNotNull()).alias(m) for m in metrics]
+    rows = aggregates.where(F.col("region").isNotNull()).groupBy("region").agg(*has).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} regions cannot become columns")
+    return {m: sorted(row["region"] for row in rows if row[m]) for m in metrics}
+
+
+def mean_by_region(aggregates: DataFrame, metric: str) -> DataFrame:
+    """``window_start, region, mean`` of ``metric``: the pivot's cells as rows, for any number of regions."""
+    known = aggregates.where(F.col("region").isNotNull() & F.col(metric).isNotNull())
+    return known.groupBy("window_start", "region").agg(F.avg(metric).alias("mean"))
+
+
 def pivot_by_region(
     aggregates: DataFrame, metric: str, regions: Sequence[str] | None = None
 ) -> DataFrame:
     """One row per window, one column per region, holding the mean of ``metric``.
 
-    Values that are missing produce neither a row nor a column.
+    Values that are missing produce neither a row nor a column. Regions whose names
+    Spark cannot tell apart as columns, or that are named as the window column is,
+    are an error; ``mean_by_region`` has no such limits.
     """
     if regions is None:
         regions = regions_with(aggregates, metric)
+    taken: dict[str, str] = {"window_start": "window_start"}
+    for region in regions:
+        other = taken.setdefault(region.lower(), region)
+        if other != region or region == "window_start":
+            raise ValueError(f"{region!r} and {other!r} cannot both be columns; use mean_by_region")
     known = aggregates.where(F.col("region").isNotNull() & F.col(metric).isNotNull())
     return known.groupBy("window_start").pivot("region", list(regions)).agg(F.avg(metric))
 

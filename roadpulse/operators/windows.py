@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.functions.measures import congestion, rounded
+from roadpulse.functions.measures import congestion
 
 
 def _per_window(rows: DataFrame, width: str, *measures: Column) -> DataFrame:
@@ -58,6 +58,6 @@ def typed_window_aggregate(records: DataFrame, width: str) -> DataFrame:
     return _per_window(
         records,
         width,
-        rounded(F.avg("Avg Speed")).alias("avg_speed"),
-        rounded(F.sum("Total Flow")).alias("total_vehicles"),
+        F.round(F.avg("Avg Speed"), 2).alias("avg_speed"),
+        F.round(F.sum("Total Flow"), 2).alias("total_vehicles"),
     ).select("region", "window_start", "window_end", "avg_speed", "total_vehicles")

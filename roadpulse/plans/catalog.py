@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadpulse.functions import cells, labels, lanes
-from roadpulse.functions.measures import rounded
 from roadpulse.operators import (
     batch_metrics as stats,
     chunks,
@@ -44,8 +43,10 @@ def query(plan: Query, digits: int | None = None) -> Query:
 
     @wraps(plan)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # The tables hold times without a zone; streams need times with one.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        # The tables hold times without a zone, streams need times with one, and the
+        # result is computed after this returns: the caller's session must be in UTC.
+        if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
+            raise ValueError("set spark.sql.session.timeZone to UTC")
         return presented(plan(spark, str(sf_dir).rstrip("/")), digits)
 
     QUERIES[plan.__name__] = run
@@ -57,13 +58,23 @@ def measured(plan: Query) -> Query:
     return query(plan, digits=6)
 
 
+def steady(value: Column, digits: int) -> Column:
+    """A floating-point result for comparison: its last bits, which depend on the
+    order of a distributed sum, are cut off before it is rounded. Infinite and very
+    large values are left to plain rounding.
+    """
+    cut = F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
+    return F.coalesce(cut, F.round(value, digits))
+
+
 def presented(rows: DataFrame, digits: int | None) -> DataFrame:
     def column(field: T.StructField) -> Column:
-        value = F.col(f"`{field.name}`")
+        name = field.name.replace("`", "``")
+        value = F.col(f"`{name}`")
         if isinstance(field.dataType, T.TimestampType):
             value = value.cast("timestamp_ntz")
         elif digits is not None and isinstance(field.dataType, T.DoubleType):
-            value = rounded(value, digits)
+            value = steady(value, digits)
         return value.alias(field.name)
 
     return rows.select([column(field) for field in rows.schema])
@@ -218,8 +229,12 @@ def sink_parquet_stream(spark, sf_dir):
 def sink_batch_metrics(spark, sf_dir):
     params = job_params(spark, metrics_path=fresh_path(spark, "metrics"))
     job.run(spark, params, feeds.stream_event_readings(spark, sf_dir))
-    metrics = sources.read_metrics(spark, params.metrics_path)
-    return metrics.groupBy("config").agg(F.sum("rows").alias("rows"))
+    return _metrics_facts(sources.read_metrics(spark, params.metrics_path))
+
+
+def _metrics_facts(metrics: DataFrame) -> DataFrame:
+    """What does not depend on how fast the machine is."""
+    return metrics.select("config", "batch_id", "rows", "has_speed", "has_count", "dropped_late")
 
 
 @query
@@ -250,6 +265,17 @@ def chunk_assign(spark, sf_dir):
     )
 
 
+@query
+def chunk_input_order(spark, sf_dir):
+    """Chunks of CSV files as their rows stand in them."""
+    path = fresh_path(spark, "station-csv")
+    records = feeds.station_records(spark, sf_dir).select("event_id", "Timestamp", "Station")
+    sinks.write_csv(records.repartitionByRange(4, "event_id").sortWithinPartitions("event_id"), path)
+    return chunks.assign_chunks(sources.read_station_csv(spark, path), size=1000).select(
+        F.col("event_id").cast("bigint").alias("event_id"), "row_position", "chunk_id"
+    )
+
+
 @query
 def sink_chunks(spark, sf_dir):
     path = fresh_path(spark, "chunks")
@@ -595,6 +621,11 @@ def pivot_congestion(spark, sf_dir):
     return trends.pivot_by_region(feeds.hourly_aggregates(spark, sf_dir), "congestion_index")
 
 
+@measured
+def mean_by_region(spark, sf_dir):
+    return trends.mean_by_region(feeds.hourly_aggregates(spark, sf_dir), "avg_speed")
+
+
 @measured
 def congestion_vs_speed(spark, sf_dir):
     records = feeds.station_records(spark, sf_dir)
@@ -688,7 +719,7 @@ def stream_typed_updates(spark, sf_dir):
     stream = job.typed_windowed_stream(spark, station_csv(spark, sf_dir))
     sinks.update_log_sink(stream, log, checkpoint, "available-now").start().awaitTermination()
     keys = ["region", "window_start", "window_end"]
-    return sinks.latest_updates(spark.read.parquet(log), keys)
+    return sinks.read_updates(spark, log, keys)
 
 
 @measured
@@ -698,7 +729,8 @@ def stream_late_data(spark, sf_dir):
     ten_days, twenty_days = (
         F.lit(day).cast("timestamp_ntz") for day in ("2024-01-11", "2024-01-21")
     )
-    late = (F.col("region") == "error") & (F.col("ts") < ten_days)
+    # An event without a type is not late.
+    late = F.col("region").eqNullSafe("error") & (F.col("ts") < ten_days)
     arrivals = [
         events.where(~late & (F.col("ts") < ten_days)),
         events.where((F.col("ts") >= ten_days) & (F.col("ts") < twenty_days)),
@@ -732,16 +764,19 @@ def stream_update_mode(spark, sf_dir):
     """The state after all updates, windows still open included."""
     params = job_params(spark, sink="updates", output_mode="update")
     job.run(spark, params, feeds.stream_event_readings(spark, sf_dir))
-    log = spark.read.parquet(params.output_path)
-    return sinks.latest_updates(log, ["region", "window_start", "window_end"])
+    keys = ["region", "window_start", "window_end"]
+    sinks.compact_updates(spark, params.output_path, keys)
+    return sinks.read_updates(spark, params.output_path, keys)
 
 
 @query
 def stream_paced(spark, sf_dir):
-    """Four files, one per batch, through the metrics sink."""
+    """Four files, one per batch in the order they arrive, through the metrics sink."""
     inbox = fresh_path(spark, "inbox")
-    records = feeds.station_cells(feeds.station_records(spark, sf_dir))
-    sinks.write_csv(records.repartitionByRange(4, "Timestamp"), inbox)
+    records = feeds.station_records(spark, sf_dir)
+    for turn in range(4):
+        part = feeds.station_cells(records.where(F.col("event_id") % 4 == turn)).coalesce(1)
+        sinks.write_csv(part, inbox, mode="append")
     params = job_params(
         spark,
         input_path=inbox,
@@ -749,8 +784,7 @@ def stream_paced(spark, sf_dir):
         metrics_path=fresh_path(spark, "metrics"),
     )
     job.run(spark, params)
-    metrics = sources.read_metrics(spark, params.metrics_path)
-    return metrics.agg(F.count(F.lit(1)).alias("batches"), F.sum("rows").alias("rows"))
+    return sources.read_metrics(spark, params.metrics_path).select("batch_id", "rows", "has_speed", "has_count")
 
 
 @query
@@ -760,5 +794,4 @@ def sweep_metrics(spark, sf_dir):
     job.sweep(
         spark, params, batches=1, readings=lambda: feeds.stream_event_readings(spark, sf_dir)
     )
-    metrics = sources.read_metrics(spark, params.metrics_path)
-    return metrics.groupBy("config").agg(F.sum("rows").alias("rows"))
+    return _metrics_facts(sources.read_metrics(spark, params.metrics_path))

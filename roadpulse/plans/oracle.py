@@ -70,6 +70,11 @@ def _round(value: str, digits: int = 6) -> str:
     return f"CAST(round(CAST({value} AS DECIMAL(38, 10)), {digits}) AS DOUBLE)"
 
 
+def _half_up(value: str, digits: int = 2) -> str:
+    """A double rounded half up as it is written in decimals."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 def _windows(width: str, source: str = "readings") -> str:
     return f"""
 spans AS (
@@ -80,7 +85,7 @@ spans AS (
 aggregates AS (
   SELECT region, window_start, window_start + INTERVAL '{width}' AS window_end,
     mean_speed, total_vehicles,
-    CASE WHEN mean_speed > 0 THEN {_round("total_vehicles / mean_speed", 2)} END AS congestion_index
+    CASE WHEN mean_speed > 0 THEN {_half_up("total_vehicles / mean_speed")} END AS congestion_index
   FROM spans
 )"""
 
@@ -113,7 +118,7 @@ _LABELS = " ".join(
 _METRICS = f"""
 per_batch AS (
   SELECT event_id // 100 AS batch_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS logged_at,
-    count(*) AS rows, CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) / 1000 AS duration_sec
+    count(*) AS rows, sum(value) / 1000 AS duration_sec
   FROM events GROUP BY 1
 ),
 metrics AS (
@@ -227,7 +232,8 @@ def _decoded(condition: str) -> str:
     return f"WITH {_STATION} SELECT {columns}, ts AS kafka_ts FROM station WHERE {condition}"
 
 
-_ROWS_PER_CONFIG = "SELECT '{label}' AS config, count(*) AS rows FROM events"
+_ONE_BATCH = """SELECT '{label}' AS config, CAST(0 AS BIGINT) AS batch_id, count(*) AS rows, count(speed) AS has_speed,
+  count(vehicle_count) AS has_count, CAST(0 AS BIGINT) AS dropped_late FROM readings"""
 
 ORACLE: dict[str, str] = {
     # sources
@@ -263,13 +269,17 @@ SELECT CAST(logged_at AS TIMESTAMP) AS logged_at, batch_id, rows, {_round("durat
 SELECT CAST(logged_at AS TIMESTAMP) AS logged_at, batch_id, rows FROM metrics""",
     # sinks
     "sink_parquet_stream": _closed(_EVENT_READINGS, "1 hour"),
-    "sink_batch_metrics": _ROWS_PER_CONFIG.format(label="file|window=1 hour|trigger=available-now"),
+    "sink_batch_metrics": f"WITH {_EVENT_READINGS} "
+    + _ONE_BATCH.format(label="file|window=1 hour|trigger=available-now"),
     "quality_counts": f"""WITH {_READINGS}
 SELECT count(*) AS total, count(ts) AS has_ts, count(speed) AS has_speed,
   count(vehicle_count) AS has_count FROM readings HAVING count(*) > 0""",
     "sink_csv": _prepared("'LA'"),
     "chunk_assign": f"""WITH {_STATION},
 placed AS (SELECT event_id, row_number() OVER (ORDER BY time_text, station, event_id) AS row_position FROM station)
+SELECT event_id, row_position, 1 + (row_position - 1) // 1000 AS chunk_id FROM placed""",
+    "chunk_input_order": f"""WITH {_STATION},
+placed AS (SELECT event_id, row_number() OVER (ORDER BY event_id) AS row_position FROM station)
 SELECT event_id, row_position, 1 + (row_position - 1) // 1000 AS chunk_id FROM placed""",
     "sink_chunks": f"""WITH {_STATION},
 placed AS (SELECT event_id, row_number() OVER (ORDER BY time_text, station, event_id) AS row_position FROM station)
@@ -322,7 +332,7 @@ steps AS (
   UNION ALL SELECT 3, 'no speed', c, n - a - b - c, n FROM counts
   UNION ALL SELECT 4, 'total', a + b + c, n - a - b - c, n FROM counts
 )
-SELECT step, rule, gone AS rows_removed, {_round("gone * 100.0::DOUBLE / n", 1)} AS pct_of_input,
+SELECT step, rule, gone AS rows_removed, {_half_up("gone * 100.0::DOUBLE / n", 1)} AS pct_of_input,
   kept AS rows_remaining FROM steps""",
     "reformat_timestamp": f"""WITH {_STATION}
 SELECT event_id, CASE WHEN time_text = 'bad' THEN NULL ELSE true_time END AS time_text FROM station""",
@@ -392,11 +402,14 @@ SELECT rows, {_round("duration_sec")} AS duration_sec FROM metrics""",
         "1 day",
     ),
     "window_agg_dirty": _aggregates(_READINGS, "1 hour"),
+    "mean_by_region": f"""WITH {_EVENT_READINGS}, {_windows("1 hour")}
+SELECT window_start, region, {_round("mean_speed")} AS mean FROM aggregates
+WHERE region IS NOT NULL AND mean_speed IS NOT NULL""",
     "window_agg_rounded": f"""WITH {_STATION}
 SELECT region, time_bucket(INTERVAL '1 hour', ts) AS window_start,
   time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
-  {_round("avg(CASE WHEN no_speed THEN NULL ELSE value END)", 2)} AS avg_speed,
-  {_round("sum(CASE WHEN no_flow THEN NULL ELSE value END)", 2)} AS total_vehicles
+  {_half_up("avg(CASE WHEN no_speed THEN NULL ELSE value END)")} AS avg_speed,
+  {_half_up("sum(CASE WHEN no_flow THEN NULL ELSE value END)")} AS total_vehicles
 FROM station GROUP BY 1, 2""",
     "pivot_avg_speed": _pivot("mean_speed", _HOURLY),
     "pivot_total_vehicles": _pivot("total_vehicles", _HOURLY),
@@ -441,21 +454,23 @@ readings AS (
     "stream_typed_updates": f"""WITH {_STATION}
 SELECT region, time_bucket(INTERVAL '5 seconds', ts) AS window_start,
   time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS window_end,
-  {_round("avg(CASE WHEN no_speed THEN NULL ELSE value END)", 2)} AS avg_speed,
-  {_round("sum(CASE WHEN no_flow THEN NULL ELSE value END)", 2)} AS total_vehicles
+  {_half_up("avg(CASE WHEN no_speed THEN NULL ELSE value END)")} AS avg_speed,
+  {_half_up("sum(CASE WHEN no_flow THEN NULL ELSE value END)")} AS total_vehicles
 FROM station WHERE time_text <> 'bad' GROUP BY 1, 2""",
     "stream_late_data": _closed(
         """readings AS (
   SELECT ts, event_type AS region, CAST(trunc(value) AS INTEGER) AS vehicle_count, value AS speed
-  FROM events WHERE event_type <> 'error' OR ts >= TIMESTAMP '2024-01-11'
+  FROM events WHERE event_type IS DISTINCT FROM 'error' OR ts >= TIMESTAMP '2024-01-11'
 )""",
         "1 hour",
     ),
     "stream_resume": _closed(_EVENT_READINGS, "1 hour"),
     "stream_update_mode": _aggregates(_EVENT_READINGS, "1 hour"),
-    "stream_paced": f"WITH {_READINGS} SELECT CAST(4 AS BIGINT) AS batches, count(*) AS rows FROM readings",
-    "sweep_metrics": " UNION ALL ".join(
-        _ROWS_PER_CONFIG.format(label=f"file|window={window}|trigger={trigger}")
-        for window, trigger in SWEEP
+    "stream_paced": f"""WITH {_READINGS}
+SELECT event_id % 4 AS batch_id, count(*) AS rows, count(speed) AS has_speed, count(vehicle_count) AS has_count
+FROM readings GROUP BY 1""",
+    "sweep_metrics": f"WITH {_EVENT_READINGS} "
+    + " UNION ALL ".join(
+        _ONE_BATCH.format(label=f"file|window={window}|trigger={trigger}") for window, trigger in SWEEP
     ),
 }

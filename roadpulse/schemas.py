@@ -35,14 +35,6 @@ FLOW_NAMES = [
     "Total Flow (Veh/5min)",
 ]
 SPEED_NAMES = ["Avg Speed", "Avg_Speed", "Average Speed", "Speed", "Speed (mph)"]
-METRICS_COLUMNS = [
-    "timestamp",
-    "batch_id",
-    "rows",
-    "duration_sec",
-    "throughput_rows_per_sec",
-    "config",
-]
 EARLY_METRICS_COLUMNS = ["timestamp", "batch_id", "rows"]
 HOME_DISTRICT = 7
 HOME_REGION = "LA"
@@ -84,17 +76,6 @@ STATION_TYPED = T.StructType(
     ]
 )
 
-AGGREGATE = T.StructType(
-    [
-        T.StructField("region", T.StringType()),
-        T.StructField("window_start", T.TimestampType()),
-        T.StructField("window_end", T.TimestampType()),
-        T.StructField("avg_speed", T.DoubleType()),
-        T.StructField("total_vehicles", T.LongType()),
-        T.StructField("congestion_index", T.DoubleType()),
-    ]
-)
-
 EARLY_METRICS = _strings(EARLY_METRICS_COLUMNS)
 
 _DESCRIBED_TYPES = {

@@ -20,13 +20,6 @@ def console_sink(
     return with_trigger(writer, trigger)
 
 
-def print_summary(summary: DataFrame, rows: int = 200) -> None:
-    """Print a steady-state summary, one line per configuration."""
-    summary.select(
-        "window_seconds",
-        "trigger_seconds",
-        "batches",
-        "avg_duration_sec",
-        "avg_throughput",
-        "short_label",
-    ).show(rows, truncate=False)
+def print_whole(table: DataFrame) -> None:
+    """Print all rows of a table that has one per configuration."""
+    table.show(table.count(), truncate=False)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from roadpulse.storage import delete, exists, list_names
+
 
 def write_csv(
     rows: DataFrame, path: str, mode: str = "errorifexists", max_rows_per_file: int | None = None
@@ -26,6 +28,18 @@ def write_csv(
     writer.csv(path)
 
 
+def write_metrics(rows: DataFrame, path: str) -> None:
+    """Batch metrics as CSV, one folder per query and batch; writing one again replaces it."""
+    (
+        rows.withColumn("batch", F.col("batch_id"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("header", True)
+        .partitionBy("query_id", "batch")
+        .csv(path)
+    )
+
+
 def default_csv_path(source_path: str, suffix: str = "") -> str:
     """Beside the source, its name without extension plus ``suffix``."""
     folder, slash, name = source_path.rstrip("/").rpartition("/")
@@ -59,8 +73,12 @@ def update_log_sink(
     """Log the rows each batch changed, for results in update mode.
 
     A batch overwrites its own folder only, so running it again after a failure
-    changes nothing. ``latest_updates`` reads the current state.
+    changes nothing. ``read_updates`` reads the current state. A new checkpoint would
+    count batches from 0 again and mix with what is there, so it needs a new path.
     """
+    spark = stream.sparkSession
+    if exists(spark, path) and not exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{path} holds the updates of another checkpoint")
 
     def write_batch(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
@@ -74,7 +92,59 @@ def update_log_sink(
 
 
 def latest_updates(log: DataFrame, keys: list[str]) -> DataFrame:
-    """The last logged row of every key; combined on the map side."""
+    """The last logged row of every key; hashed and combined on the map side.
+
+    A batch logs a key once, so all values come from the same row.
+    """
     values = [name for name in log.columns if name not in (*keys, "batch")]
-    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("row"))
-    return newest.select(*keys, "row.*")
+    return log.groupBy(*keys).agg(*[F.max_by(name, "batch").alias(name) for name in values])
+
+
+def _snapshots(path: str) -> str:
+    return f"{path.rstrip('/')}-snapshots"
+
+
+def _newest_snapshot(spark: SparkSession, path: str) -> int | None:
+    """The last batch a complete snapshot has folded in."""
+    if not exists(spark, _snapshots(path)):
+        return None
+    folders = [name for name in list_names(spark, _snapshots(path)) if name.startswith("upto=")]
+    done = [f for f in folders if exists(spark, f"{_snapshots(path)}/{f}/_SUCCESS")]
+    return max((int(f.removeprefix("upto=")) for f in done), default=None)
+
+
+def _log_with_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot and the batches after it, as one log."""
+    upto = _newest_snapshot(spark, path)
+    names = list_names(spark, path)
+    later = [n for n in names if n.startswith("batch=") and int(n.removeprefix("batch=")) > (-1 if upto is None else upto)]
+    parts = [spark.read.option("basePath", path).parquet(*[f"{path}/{n}" for n in later])] if later else []
+    if upto is not None:
+        parts.append(spark.read.parquet(f"{_snapshots(path)}/upto={upto}"))
+    first, *others = parts
+    return first.unionByName(others[0]) if others else first
+
+
+def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The current state of an update log."""
+    return latest_updates(_log_with_snapshot(spark, path), keys)
+
+
+def compact_updates(spark: SparkSession, path: str, keys: list[str]) -> None:
+    """Fold the batches so far into a snapshot, so that reading the state does not cost all history.
+
+    Run it while no batch is written. The old batches are deleted only once the new
+    snapshot is complete; if that is cut short, reading is as before.
+    """
+    names = [n for n in list_names(spark, path) if n.startswith("batch=")]
+    before = _newest_snapshot(spark, path)
+    if not names:
+        return
+    upto = max(int(n.removeprefix("batch=")) for n in names)
+    if before is None or upto > before:
+        state = latest_updates(_log_with_snapshot(spark, path), keys).withColumn("batch", F.lit(upto))
+        state.write.mode("overwrite").parquet(f"{_snapshots(path)}/upto={upto}")
+    for name in names:
+        delete(spark, f"{path}/{name}")
+    if before is not None and before < upto:
+        delete(spark, f"{_snapshots(path)}/upto={before}")

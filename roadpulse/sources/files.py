@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.functions.cells import ISO_TIME, to_number
-from roadpulse.schemas import EARLY_METRICS, STATION_LINE, STATION_TEXT, STATION_TYPED
+from roadpulse.schemas import BASE_COLUMNS, EARLY_METRICS, LANE_FIELDS, STATION_LINE, STATION_TEXT, STATION_TYPED
 
 
 def stream_station_files(
@@ -39,24 +39,40 @@ def stream_station_files(
     return reader.load(path)
 
 
+def read_named_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files with a header, all text.
+
+    Every file's header must be the same: the first one's gives the columns, and a
+    file with other names, or the same in another order, is an error.
+    """
+    schema = spark.read.option("header", True).csv(path).schema
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+
+
 def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
     """Batch CSV with a header: columns by their own names, all text."""
-    return spark.read.option("header", True).csv(path)
+    return read_named_csv(spark, path)
 
 
 def read_station_text(spark: SparkSession, path: str) -> DataFrame:
     """Headerless station lines of any width as the twelve base columns.
 
-    Surplus cells are cut off by the CSV reader, missing ones become NULL.
+    Surplus cells are cut off by the CSV reader, missing ones become NULL. A line of
+    names among them is an error, as its file has a header.
     """
-    return spark.read.schema(STATION_LINE).csv(path)
+    lines = spark.read.schema(STATION_LINE).csv(path)
+    first = lines.columns[0]
+    named = F.lower(F.trim(first)) == first.lower()
+    checked = F.when(named, F.raise_error(F.lit("a station file has a header, others have none")).cast("string"))
+    return lines.withColumn(first, checked.otherwise(F.col(first)))
 
 
 def has_header(spark: SparkSession, path: str) -> bool:
     """Whether the files start with names: a first cell with ``/`` or ``-`` is a
-    date. Reads one line; all files of ``path`` are taken to be alike.
+    date. Looks at the first line that is not blank; files that differ from it are
+    found when they are read.
     """
-    line = spark.read.text(path).first()
+    line = spark.read.text(path).where(F.trim("value") != "").first()
     if line is None:
         return False
     cell = line["value"].split(",", 1)[0]
@@ -70,9 +86,11 @@ def read_station_files(spark: SparkSession, path: str) -> DataFrame:
     return read_station_text(spark, path)
 
 
-def read_station_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw lines, for counting their layouts."""
-    return spark.read.text(path).withColumnRenamed("value", "line")
+def count_ragged_lines(spark: SparkSession, path: str) -> int:
+    """Lines of headerless files whose cells fill neither the base columns nor whole lanes."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    surplus = F.size(F.split("value", ",", -1)) - len(BASE_COLUMNS)
+    return lines.where((surplus < 0) | (surplus % len(LANE_FIELDS) != 0)).count()
 
 
 def read_aggregates(spark: SparkSession, *paths: str) -> DataFrame:
@@ -92,7 +110,7 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
     Columns keep their names; times and numbers are typed, bad cells are NULL.
     """
-    text = spark.read.option("header", True).csv(path)
+    text = read_named_csv(spark, path)
     numbers = [
         "duration_sec",
         "throughput_rows_per_sec",

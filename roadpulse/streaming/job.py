@@ -28,6 +28,10 @@ from roadpulse.streaming.params import JobParams
 from roadpulse.streaming.progress import OBSERVATION, MetricsListener
 
 
+# How long to wait for the report that a stopped query has ended.
+END_SECONDS = 600
+
+
 def stream_readings(spark: SparkSession, params: JobParams) -> DataFrame:
     """Canonical readings of the configured source."""
     if params.source == "kafka":
@@ -80,7 +84,7 @@ class RunningJob:
     spark: SparkSession
     console: StreamingQuery | None = None
 
-    def await_end(self, flush_seconds: float = 30) -> None:
+    def await_end(self, flush_seconds: float = 5) -> None:
         """Wait for the query, writing metrics rows on the way and at the end.
 
         A console query that fails ends the job too, rather than unnoticed.
@@ -99,10 +103,13 @@ class RunningJob:
         for query in (self.query, self.console):
             if query is not None:
                 query.stop()
-        # The last reports reach the listener a moment after the query ends.
-        self.listener.ended.wait(30)
-        self.listener.flush()
+        # The last reports reach the listener a moment after the query ends; a
+        # report that never comes must not pass for a batch without one.
+        arrived = self.listener.ended.wait(END_SECONDS)
         self.spark.streams.removeListener(self.listener)
+        self.listener.flush(last=True)
+        if not arrived:
+            raise TimeoutError(f"no end of {self.query.name} was reported; metrics rows may be missing")
 
 
 def start(
@@ -148,8 +155,10 @@ def sweep(
     """Run every (window, trigger) pair until it has done ``batches`` batches.
 
     All runs add their rows to the base job's metrics, under their own label. A
-    pair without enough input ends at the time limit, with the rows it has.
+    pair whose input ends first, or that reaches the time limit, keeps the rows it
+    has; after the last pair the incomplete ones are raised as an error.
     """
+    incomplete = []
     for window, trigger in configurations:
         suffix = f"w{window}-t{trigger}".replace(" ", "")
         params = replace(
@@ -169,3 +178,7 @@ def sweep(
                     break
         finally:
             job.stop()
+        if job.listener.batches_seen < batches:
+            incomplete.append(f"{window} every {trigger}: {job.listener.batches_seen}")
+    if incomplete:
+        raise RuntimeError(f"fewer than {batches} batches for {'; '.join(incomplete)}")

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
-from roadpulse.sinks.files import write_csv
+from roadpulse.sinks.files import write_metrics
 
 log = logging.getLogger(__name__)
 
@@ -28,9 +28,13 @@ METRICS_TABLE = T.StructType(
         T.StructField("has_speed", T.LongType()),
         T.StructField("has_count", T.LongType()),
         T.StructField("dropped_late", T.LongType()),
+        T.StructField("query_id", T.StringType()),
     ]
 )
 
+# Flushes that may fail in a row; then the rows waiting would only grow.
+MAX_FAILURES = 20
+
 
 def metrics_row(progress, config: str) -> tuple | None:
     """A metrics row, or nothing for a batch without readings.
@@ -55,6 +59,7 @@ def metrics_row(progress, config: str) -> tuple | None:
         counts["has_speed"],
         counts["has_count"],
         sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators),
+        str(progress.id),
     )
 
 
@@ -63,7 +68,11 @@ class MetricsListener(StreamingQueryListener):
 
     The callback only appends to a list. Writing happens on the job's own thread
     and may fail without harming the query; the rows are then kept for the next
-    flush.
+    flush. The last flush, and the ``MAX_FAILURES``-th failure in a row, raise.
+
+    A row is keyed by query and batch. The query keeps its id over restarts, so a
+    flush that is repeated, or a batch that runs again, replaces its row. What was not
+    flushed when the driver died is lost, as Spark reports a batch once.
     """
 
     def __init__(self, spark: SparkSession, query_name: str, config: str, path: str | None):
@@ -76,6 +85,7 @@ class MetricsListener(StreamingQueryListener):
         self._lock = threading.Lock()
         self.ended = threading.Event()
         self.batches_seen = 0
+        self._failures = 0
 
     def onQueryStarted(self, event) -> None:
         if event.name == self._query_name:
@@ -99,15 +109,18 @@ class MetricsListener(StreamingQueryListener):
         if event.runId == self._run_id:
             self.ended.set()
 
-    def flush(self) -> None:
+    def flush(self, last: bool = False) -> None:
         with self._lock:
             rows, self._rows = self._rows, []
         if not rows or self._path is None:
             return
         try:
-            table = self._spark.createDataFrame(rows, METRICS_TABLE).coalesce(1)
-            write_csv(table, self._path, mode="append")
+            write_metrics(self._spark.createDataFrame(rows, METRICS_TABLE).coalesce(1), self._path)
+            self._failures = 0
         except Exception:
             log.exception("could not write %d metrics rows", len(rows))
             with self._lock:
                 self._rows = rows + self._rows
+            self._failures += 1
+            if last or self._failures >= MAX_FAILURES:
+                raise

@@ -36,7 +36,7 @@ def test_one_warmup_row_goes_per_pair(spark):
     kept = sorted((row["batch_id"], row["duration_sec"]) for row in stats.drop_warmup(parsed).collect())
     assert kept == [(0, 9.0), (1, 1.0), (2, 3.0)]
     summary = stats.steady_state_summary(metrics(spark, rows)).collect()
-    assert [tuple(row) for row in summary] == [(5, 2, 13 / 3, 3.0, 3, "W5–T2")]
+    assert [tuple(row) for row in summary] == [(5, 2, 3, 13 / 3, 3.0, "W5–T2")]
 
 
 def test_exactly_one_of_equal_copies_goes(spark):

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadpulse.functions import cells, labels, lanes
-from roadpulse.functions.measures import congestion, rounded
+from roadpulse.functions.measures import congestion
+from roadpulse.plans.catalog import steady
 from roadpulse.schemas import (
     BASE_COLUMNS,
     FLOW_NAMES,
@@ -101,12 +102,20 @@ def test_congestion(spark):
     assert got == [2.5, None, None, None, 0.13, 0.33]
 
 
-def test_rounding_ignores_summation_noise(spark):
+def test_comparison_ignores_summation_noise(spark):
     rows = [17.525, 17.524999999999999, 17.525000000000002, -0.005, float("inf"), None, 1e20]
-    got = values(spark, rows, rounded(F.col("x")), "x double")
+    got = values(spark, rows, steady(F.col("x"), 2), "x double")
     assert got == [17.53, 17.53, 17.53, -0.01, float("inf"), None, 1e20]
 
 
+def test_congestion_is_rounded_as_it_stands(spark):
+    """No value is moved before it is rounded."""
+    rows = [1.00499999999996, 2.67499999999999, 0.125]
+    frame = spark.createDataFrame([(r,) for r in rows], "n double")
+    got = [r[0] for r in frame.select(congestion(F.col("n"), F.lit(1.0))).collect()]
+    assert got == [1.0, 2.67, 0.13]
+
+
 LABELS = [
     "file|window=5 seconds|trigger=2 seconds",
     "kafka | window= 10 seconds | trigger=20 seconds",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from roadpulse.operators.windows import window_aggregate
 from roadpulse.plans.reports import system_tables, traffic_tables, write_tables
 from roadpulse.schemas import STATION_TEXT
-from roadpulse.sinks.console import console_sink, print_summary
+from roadpulse.sinks.console import console_sink, print_whole
 from roadpulse.sinks.files import latest_updates, parquet_sink, update_log_sink
 from roadpulse.sources.files import read_aggregates, read_metrics, stream_station_files
 from roadpulse.sources.kafka import kafka_options
@@ -124,11 +124,12 @@ def test_trigger_limited_by_bytes(spark, tmp_path):
     assert sorted(row["rows"] for row in rows) == [2, 2, 2]
 
 
-def test_unwritable_metrics_do_not_stop_the_job(spark, tmp_path):
+def test_unwritable_metrics_are_reported_when_the_job_is_done(spark, tmp_path):
     (tmp_path / "metrics").write_text("a file, not a folder")
     given = params(tmp_path, metrics_path=str(tmp_path / "metrics" / "x"))
     drop(tmp_path / "in", "a.csv", line(0), line(60))
-    job.run(spark, given)
+    with pytest.raises(Exception):  # noqa: B017  whatever the file system says
+        job.run(spark, given)
     assert results(spark, given.output_path) == {("LA", 0): 10}
 
 
@@ -148,9 +149,12 @@ def test_update_batch_can_run_twice(spark, tmp_path):
     inbox = tmp_path / "in"
     drop(inbox, "a.csv", line(0), line(1))
     path = str(tmp_path / "log")
-    for attempt in range(2):
+    for _ in range(2):
         stream = job.windowed_stream(job.stream_readings(spark, params(tmp_path)), "5 seconds", "20 seconds")
-        update_log_sink(stream, path, str(tmp_path / f"c{attempt}"), "available-now").start().awaitTermination()
+        update_log_sink(stream, path, str(tmp_path / "c"), "available-now").start().awaitTermination()
+        # As if the driver had died before it noted the batch as done.
+        for commit in (tmp_path / "c" / "commits").glob("*"):
+            commit.unlink()
     assert [row["total_vehicles"] for row in spark.read.parquet(path).collect()] == [20]
 
 
@@ -245,7 +249,8 @@ def test_params_from_mapping():
 def test_sweep_ends_without_input(spark, tmp_path):
     (tmp_path / "in").mkdir()
     began = time.monotonic()
-    job.sweep(spark, params(tmp_path), 1, [("5 seconds", "1 second")], limit_seconds=1)
+    with pytest.raises(RuntimeError, match="fewer than 1 batches"):
+        job.sweep(spark, params(tmp_path), 1, [("5 seconds", "1 second")], limit_seconds=1)
     assert time.monotonic() - began < 40
 
 
@@ -259,7 +264,7 @@ def test_reports(spark, tmp_path, capfd):
     system = system_tables(spark, given.metrics_path)
     summary = system["steady_state_summary"].collect()
     assert [(row["short_label"], row["batches"]) for row in summary] == [("W5–T1", 2)]
-    print_summary(system["steady_state_summary"])
+    print_whole(system["steady_state_summary"])
     assert "W5–T1" in capfd.readouterr().out
     traffic = traffic_tables(spark, f"{given.output_path}/w5seconds-t1second", top=2)
     write_tables({**system, **traffic}, str(tmp_path / "report"))
