@@ -221,10 +221,13 @@ def train(documents: DataFrame) -> Model:
     })
 
 
-def identified(documents: DataFrame, learn_from: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def identified(
+    documents: DataFrame, learn_from: DataFrame | None, carry: Sequence[str] = (), model: Model | None = None
+) -> DataFrame:
     """``doc_id, lang_pred, score, bits_per_byte``, one row per row of ``documents``.
 
-    Columns named in ``carry`` come along as ``in_0``, ``in_1`` and so on.
+    Columns named in ``carry`` come along as ``in_0``, ``in_1`` and so on. A ``model`` may
+    be given instead of what to learn from.
 
     ``lang_pred`` is a language of ``learn_from`` (see ``train``), of which the text is
     most likely; ``score`` is its probability if all languages are equally likely
@@ -235,7 +238,7 @@ def identified(documents: DataFrame, learn_from: DataFrame, carry: Sequence[str]
     """
     spark = documents.sparkSession
     for_python(spark)
-    shared = spark.sparkContext.broadcast(train(learn_from))
+    shared = spark.sparkContext.broadcast(model or train(learn_from))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
@@ -274,10 +277,14 @@ def labelled(documents: DataFrame, learn_from: DataFrame) -> DataFrame:
     """``documents`` in a learned language, with ``lang`` as identified; all columns kept.
 
     Rejected are texts that are null or have no letter, and those for which even the best
-    language takes more than ``MAX_BITS_PER_BYTE``. If no language was learned, all are.
+    language takes more than ``MAX_BITS_PER_BYTE``. If no language was learned, only the
+    former are, and ``lang`` stays.
     """
     names = documents.columns
-    found = identified(documents, learn_from, carry=names)
+    model = train(learn_from)
+    if not model.languages:
+        return documents.filter(documents["text"].rlike(r"\p{L}"))
+    found = identified(documents, None, carry=names, model=model)
     known = F.col("lang_pred") != UNKNOWN
     kept = found.filter(known & (F.col("bits_per_byte") <= MAX_BITS_PER_BYTE))
     return kept.select(
