@@ -24,8 +24,8 @@ from roadpulse.llm.frames import for_python, only, width
 
 END_ID = 2
 SEGMENT_IDS = 1 << 19
-# Words whose ids a Python worker remembers, about 100 MB.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 40
+# Words whose ids a Python worker remembers, about 300 MB.
+REMEMBERED, REMEMBERED_CHARS = 1_500_000, 40
 SEGMENT = """file int, segment int, start bigint, n_ids bigint, doc_ids array<bigint>, lengths array<int>,
     table binary, states binary, offsets array<bigint>, words binary, checksums array<bigint>"""
 _SCHEMA = pa.schema([
@@ -52,27 +52,47 @@ class Encoder:
         self.white_run = re.compile(r"\s\s")
         self.single_space = re.compile(r"(?<=\S) (?=\S)")
         self.known: dict[str, bytes] = {}
+        # Tokens that begin with a space, which byte-level vocabularies write as U+0120.
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.spaced[i] = token.startswith("\u0120")
 
     def _split(self, text: str) -> list[str]:
         return self.single_space.split(text) if self.white_run.search(text) else text.split(" ")
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that follow a space.
+
+        Words without white space at their ends or spaces within are encoded in one go,
+        each after a space: just the tokens that start a word begin with one.
+        """
+        plain = [w for w in words if w and not (w[0].isspace() or w[-1].isspace() or " " in w)]
+        (joined,) = self.tokenizer.encode_batch_fast(["".join([" " + w for w in plain])], add_special_tokens=False)
+        ids = np.array(joined.ids, "<u4")
+        starts = np.flatnonzero(self.spaced[ids]) if len(ids) else []
+        if len(starts) != len(plain):
+            plain, starts = [], []
+        edges = [*[4 * int(x) for x in starts], 4 * len(ids)]
+        raw = ids.tobytes()
+        found = {w: raw[a:b] for w, a, b in zip(plain, edges, edges[1:], strict=False)}
+        others = [w for w in words if w not in found]
+        rest = self.tokenizer.encode_batch_fast([" " + w for w in others], add_special_tokens=False)
+        found |= {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(others, rest, strict=True)}
+        return [found[w] for w in words]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as 32-bit numbers. All words but a text's first follow a space."""
         known = self.known
         parts = [self._split(t) for t in texts]
         missing = list({w for words in parts for w in words[1:] if w not in known})
-        firsts = [words[0] for words in parts]
-        found = self.tokenizer.encode_batch_fast([" " + w for w in missing] + firsts, add_special_tokens=False)
-        as_bytes = [np.array(e.ids, "<u4").tobytes() for e in found]
-        new = dict(zip(missing, as_bytes, strict=False))
-        for word in missing:
-            if len(known) >= REMEMBERED:
-                break
-            if len(word) <= REMEMBERED_CHARS:
-                known[word] = new[word]
+        new = dict(zip(missing, self._words(missing), strict=True))
+        firsts = self.tokenizer.encode_batch_fast([words[0] for words in parts], add_special_tokens=False)
+        room = REMEMBERED - len(known)
+        if room > 0:
+            known.update([(w, new[w]) for w in missing if len(w) <= REMEMBERED_CHARS][:room])
         return [
-            first + b"".join([known[w] if w in known else new[w] for w in words[1:]])
-            for first, words in zip(as_bytes[len(missing) :], parts, strict=True)
+            np.array(first.ids, "<u4").tobytes() + b"".join([known[w] if w in known else new[w] for w in words[1:]])
+            for first, words in zip(firsts, parts, strict=True)
         ]
 
 
