@@ -32,7 +32,9 @@ class Table:
 
     @classmethod
     def of(cls, ids: np.ndarray) -> Table:
-        symbols, counts = np.unique(ids, return_counts=True)
+        counts = np.bincount(ids)
+        symbols = np.flatnonzero(counts)
+        counts = counts[symbols]
         # At least sixteen slots a symbol, so that rare ones do not crowd out the others.
         bits = max(14, int(len(symbols)).bit_length() + 4)
         total = 1 << bits
@@ -86,17 +88,20 @@ def _checksum(states: np.ndarray, words: np.ndarray) -> int:
 
 
 def encode(ids: np.ndarray) -> Message:
+    """Encode ids of a vocabulary that fits into memory as a list."""
     table = Table.of(ids)
     blocks, steps = _shape(len(ids))
-    local = np.searchsorted(table.symbols, ids).astype(np.int64)
+    place = np.zeros(int(table.symbols[-1]) + 1, np.int64)
+    place[table.symbols] = np.arange(len(table.symbols))
     filled = np.full(blocks * steps * LANES, int(table.freqs.argmax()), np.int64)
-    filled[: len(local)] = local
+    filled[: len(ids)] = place[ids]
     filled = filled.reshape(blocks, steps, LANES)
     freqs, starts, bits = table.freqs.astype(np.uint64), table.starts(), np.uint64(table.bits)
     room = freqs << np.uint64(63 - table.bits)
     state = np.full((blocks, LANES), _LOW, np.uint64)
     out, owner = [], []
-    number = np.repeat(np.arange(blocks, dtype=np.int32), LANES).reshape(blocks, LANES)
+    # A stable sort of 16-bit numbers takes linear time.
+    number = np.arange(blocks, dtype=np.uint16 if blocks < 1 << 16 else np.int64).repeat(LANES).reshape(blocks, LANES)
     for step in range(steps - 1, -1, -1):
         symbol = filled[:, step]
         freq = freqs[symbol]
