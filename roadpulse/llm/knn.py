@@ -227,9 +227,9 @@ def top_k(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame
 
     block = of_cell(first) + F.pmod(F.xxhash64("vec_id", F.lit("block")), of_cell(pieces))
     in_slices = F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1)))
-    asking = queries.select("vec_id", "vec", block.alias("block"), in_slices.alias("slice")).select(
-        (F.col("block") * n_slices + F.col("slice")).cast("bigint").alias("target"), "vec_id", "vec", F.lit(True).alias("asks")
-    )
+    target = (F.col("block") * n_slices + F.col("slice")).cast("bigint")
+    asking = queries.select("vec_id", "vec", block.alias("block"), in_slices.alias("slice"))
+    asking = asking.select(target.alias("target"), "vec_id", "vec", F.lit(True).alias("asks"))
     sliced = placed.withColumn("slice", F.pmod(F.xxhash64("vec_id", F.lit("slice")), F.lit(n_slices)).cast("int"))
     sent = sliced.select("vec_id", "vec", "cell", "distance", "slice").mapInArrow(
         _send(np.array(limits), n_slices), "target bigint, vec_id bigint, vec array<double>, asks boolean"

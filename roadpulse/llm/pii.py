@@ -142,9 +142,8 @@ def _spans(documents: DataFrame, key: str) -> DataFrame:
     kind, found = F.col("kind"), F.col("found")
     digits = F.regexp_replace(found, "[^0-9]", "")
     parts = F.split(F.regexp_replace(found, r"[\[\](){}]", ""), r"\.")
-    in_range = F.forall(
-        parts, lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (F.coalesce(F.try_to_number(F.right(p, F.lit(3)), F.lit("999")), F.lit(0)) <= 255)
-    )
+    # A part may have any number of zeros before it.
+    in_range = F.forall(parts, lambda p: p.rlike("^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"))
     n_digits = F.length(digits)
     valid = (
         F.when(kind == "email", found.rlike(r"[A-Za-z]{2,}$"))
@@ -166,8 +165,12 @@ def _spans(documents: DataFrame, key: str) -> DataFrame:
     cue = F.when(F.col("left").rlike(_COUNTER_CUES), -1).otherwise(cue)
     before, after = F.right(F.col("left"), F.lit(1)), F.col("right")
     inside = before.rlike("[A-Za-z0-9_/=]") | after.rlike("[A-Za-z0-9_/=@]")
-    look = lambda c: F.when(c == "", "end").when(c.rlike(r"\p{L}"), "letter").when(c.rlike("[0-9]"), "digit").when(
-        c.rlike(r"\s"), "space").otherwise("sign")
+
+    def look(c: Column) -> Column:
+        letter, digit, space = c.rlike(r"\p{L}"), c.rlike("[0-9]"), c.rlike(r"\s")
+        named = F.when(c == "", "end").when(letter, "letter").when(digit, "digit").when(space, "space")
+        return named.otherwise("sign")
+
     word = F.lower(F.regexp_extract(F.col("left"), r"(\p{L}+)[^\p{L}]*$", 1))
     judged = placed.select(
         key, "kind", "start", "end", F.coalesce(base, F.lit(False)).alias("base"),
