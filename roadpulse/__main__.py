@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 import typing
-from dataclasses import MISSING, fields
+from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
