@@ -13,6 +13,8 @@ A text without any term of the lexicon is known by the hash of the text alone.
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ RATES, SETS = (32, 128, 512), 16
 # a corpus of books would need a larger LEAST_OF share and fails here instead.
 MOST_TERMS = 2_000_000
 _GAP = r"[\x20\x09-\x0D]+"
+_NOTHING = md5(b"").hexdigest()[:16]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -71,8 +74,9 @@ def _hashes(known: Column, text_hash: Column) -> Column:
     """The fingerprint of a text from its sorted terms of the lexicon."""
 
     def hashed(some: Column) -> Column:
+        # Terms are not empty, so only a list of none has the hash of nothing.
         joined = F.array_join(F.transform(some, lambda x: x["term"]), " ")
-        return F.when(F.size(some) > 0, F.substring(F.md5(joined), 1, 16)).otherwise(F.lit(""))
+        return F.replace(F.substring(F.md5(joined), 1, 16), F.lit(_NOTHING), F.lit(""))
 
     def with_bits(some: Column, bits: int) -> Column:
         return F.filter(some, lambda x: x["mask"].bitwiseAND(F.lit(bits).cast("bigint")) != 0)
@@ -107,7 +111,9 @@ def _prints(rows: DataFrame, key: list[str], keep: list[str], bodies: list[str],
         for i, b in enumerate(bodies)
     ]
     found = seen.groupBy(*key).agg(*first, *kinds)
-    prints = [_hashes(F.array_sort(f"terms_{b}"), F.col(f"hash_{b}")).alias(f"print_{b}") for b in bodies]
+    # Sorted in a step of its own, as the hashes look at the list several times.
+    found = found.withColumns({f"terms_{b}": F.sort_array(f"terms_{b}") for b in bodies})
+    prints = [_hashes(F.col(f"terms_{b}"), F.col(f"hash_{b}")).alias(f"print_{b}") for b in bodies]
     return found.select(*key, *keep, *prints)
 
 
