@@ -39,6 +39,8 @@ CHUNK = 1 << 20
 # One document in so many is looked at to find anchors with very many passages.
 # That decides which prefix splits them, not what is found.
 SAMPLE_OF = 16
+# An anchor with fewer passages in the sample is not split.
+HEAVY = 1000
 _LEAVES = "part int, anchors binary, docs binary, counts binary, paths binary, known_docs binary, known binary"
 _FOUND = "doc_id bigint, keys binary"
 _PATH = np.uint64(0xFFFFFFFF)
@@ -243,11 +245,11 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = AN
         .mapInArrow(_heavy(window, anchor), "anchor bigint, passages bigint")
         .groupBy("anchor")
         .agg(F.sum("passages").alias("passages"))
-        .filter("passages > 64"),
+        .filter(F.col("passages") > HEAVY // 16),
         "repeat-anchors",
     )
     total = counted.agg(F.sum("passages")).first()[0] or 0
-    heavy = counted.filter(F.col("passages") > max(1000, total // (16 * n_parts))).select("anchor").collect()
+    heavy = counted.filter(F.col("passages") > max(HEAVY, total // (16 * n_parts))).select("anchor").collect()
     heavy = spark.sparkContext.broadcast(np.array([r[0] for r in heavy], np.int64).view(np.uint64))
     leaves = known.mapInArrow(_leaves(window, anchor, n_parts, heavy), _LEAVES)
     repeats = leaves.groupBy("part").applyInPandas(_repeats, _FOUND)
