@@ -199,8 +199,10 @@ def _connected(
     found = materialise(components(links, "a", "b"), "near-found")
     left = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
     apart = _with_component(_with_component(left, found, "a"), found, "b").filter("of_a != of_b")
-    apart = materialise(apart.select("a", "b"), "near-apart")
-    links = links.unionByName(_confirmed(apart, texts, shingle, percent))
+    more = _confirmed(materialise(apart.select("a", "b"), "near-apart"), texts, shingle, percent)
+    if more.isEmpty():
+        return links, found
+    links = links.unionByName(more)
     return links, materialise(components(links, "a", "b"), "near-found")
 
 
@@ -268,11 +270,11 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     outside = materialise(_as(outside.join(sketches, "doc_id"), "a").withColumnRenamed("of_doc_id", "of_a"), "near-out")
     inside = materialise(_as(known.join(sketches, "doc_id"), "b").withColumnRenamed("of_doc_id", "of_b"), "near-in")
     across = outside.join(inside, "bucket").filter((F.col("of_a") != F.col("of_b")) & _close(percent))
-    across = across.select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), _differing().alias("differing")
-    ).distinct()
+    across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     across = materialise(across.join(likely, ["a", "b"], "left_anti"), "near-across")
-    _, found = _connected(across, links, texts, shingle, percent)
+    more = _confirmed(across.select("a", "b"), _texts_of(across, texts), shingle, percent)
+    if not more.isEmpty():
+        found = components(links.unionByName(more), "a", "b")
 
     found = found.select(F.col("node").alias("class"), "component")
     joined = members.join(found, "class", "left")
