@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from zlib import crc32
 
@@ -47,7 +48,6 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-DEEPEST = 60
 
 
 @dataclass(eq=False)
@@ -79,9 +79,10 @@ def _names(rest: str) -> tuple[str, bool]:
 
 
 def parse(page: str) -> Node:
-    """The tree of a page. Tags that do not end are ended as browsers do; comments and scripts are left out."""
+    """The tree of a page, however deep. Tags that do not end are ended as browsers do; comments and scripts are left out."""
     root = Node("#")
     stack, tags = [root], ["#"]
+    open_tags: Counter[str] = Counter()
     text: list[str] = []
     linked, in_link = 0, 0
     skipped, depth_skipped = "", 0  # formatting that is ruled out, without ending its block
@@ -98,8 +99,15 @@ def parse(page: str) -> Node:
 
     def close(depth: int) -> None:
         flush()
+        open_tags.subtract(tags[depth:])
         del stack[depth:], tags[depth:]
 
+    def innermost(tag: str) -> int:
+        depth = len(tags) - 1
+        while tags[depth] != tag:
+            depth -= 1
+        return depth
+
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             if not skipped:
@@ -123,8 +131,8 @@ def parse(page: str) -> Node:
         if m["end"]:
             if tag == "a":
                 in_link = 0
-            elif tag in tags:
-                close(len(tags) - 1 - tags[::-1].index(tag))
+            elif open_tags[tag]:
+                close(innermost(tag))
             elif tag in ("p", "br"):
                 text.append(" ")
             continue
@@ -142,11 +150,10 @@ def parse(page: str) -> Node:
                 skipped, depth_skipped = tag, 1
             continue
         flush()
-        if tag in _ENDS_P and "p" in tags:
-            depth = len(tags) - 1 - tags[::-1].index("p")
-            close(depth)
-        if tag in _SCOPES:
-            ends, scope = _SCOPES[tag]
+        if tag in _ENDS_P and open_tags["p"]:
+            close(innermost("p"))
+        ends, scope = _SCOPES.get(tag, (set(), set()))
+        if any(open_tags[t] for t in ends):
             for depth in range(len(tags) - 1, 0, -1):
                 if tags[depth] in ends:
                     close(depth)
@@ -154,11 +161,11 @@ def parse(page: str) -> Node:
                 if tags[depth] in scope:
                     break
         in_link = 0
-        if len(stack) < DEEPEST:
-            node = Node(f"{tag}:{names}" if names else tag, ruled_out or tag in _OTHER_TAGS)
-            stack[-1].parts.append(node)
-            stack.append(node)
-            tags.append(tag)
+        node = Node(f"{tag}:{names}" if names else tag, ruled_out or tag in _OTHER_TAGS)
+        stack[-1].parts.append(node)
+        stack.append(node)
+        tags.append(tag)
+        open_tags[tag] += 1
     if at < len(page) and not skipped:
         text.append(page[at:])
     flush()
@@ -186,44 +193,62 @@ class Slot:
 MANY = 8
 
 
+def _preorder(top):
+    """A node or slot and all below it, each before its children; pages may be nested deeper than calls may."""
+    out, todo = [], [top]
+    while todo:
+        out.append(todo.pop())
+        todo += reversed(out[-1].children)
+    return out
+
+
 def slots(node: Node) -> Slot:
     """A page's tree with neighbours of one shape put together, as runs of paragraphs or rows are."""
-    out = Slot(node.label, node.other)
-    own = []
-    for part in node.parts:
-        if not isinstance(part, Node):
-            own.append(part[0])
-            out.size += len(part[0])
-            out.linked += part[1]
-            continue
-        child = slots(part)
-        last = out.children[-1] if out.children else None
-        if last is not None and last.label == child.label:
-            merge(last, child)
-            last.pages, last.repeats = 1, True
-        else:
-            out.children.append(child)
-    if own:
-        out.values.add(crc32("\n".join(own).encode()))
-    return out
+    built: dict[int, Slot] = {}
+    for n in reversed(_preorder(node)):
+        out = built[id(n)] = Slot(n.label, n.other)
+        own = []
+        for part in n.parts:
+            if not isinstance(part, Node):
+                own.append(part[0])
+                out.size += len(part[0])
+                out.linked += part[1]
+                continue
+            child = built.pop(id(part))
+            last = out.children[-1] if out.children else None
+            if last is not None and last.label == child.label:
+                merge(last, child)
+                last.pages, last.repeats = 1, True
+            else:
+                out.children.append(child)
+        if own:
+            out.values.add(crc32("\n".join(own).encode()))
+    return built[id(node)]
 
 
 def _weight(a: Slot, b: Slot, memo: dict) -> int:
     """Simple tree matching: the size of the largest matching that keeps labels, parents and order."""
     if a.label != b.label:
         return 0
-    key = (id(a), id(b))
-    if key not in memo:
-        row = [0] * (len(b.children) + 1)
-        for x in a.children:
+    todo = [(a, b)]
+    while todo:
+        top, other = todo[-1]
+        pairs = [(x, y) for x in top.children for y in other.children if x.label == y.label]
+        missing = [(x, y) for x, y in pairs if (id(x), id(y)) not in memo]
+        if missing:
+            todo += missing
+            continue
+        todo.pop()
+        row = [0] * (len(other.children) + 1)
+        for x in top.children:
             before, row = row, [0]
-            for j, y in enumerate(b.children):
+            for j, y in enumerate(other.children):
                 best = before[j + 1] if before[j + 1] > row[j] else row[j]
                 if x.label == y.label:
-                    best = max(best, before[j] + _weight(x, y, memo))
+                    best = max(best, before[j] + memo[id(x), id(y)])
                 row.append(best)
-        memo[key] = row[-1] + 1
-    return memo[key]
+        memo[id(top), id(other)] = row[-1] + 1
+    return memo[id(a), id(b)]
 
 
 def align(a: Slot, b: Slot, memo: dict | None = None) -> list[tuple[Slot | None, Slot | None]]:
@@ -254,36 +279,44 @@ def align(a: Slot, b: Slot, memo: dict | None = None) -> list[tuple[Slot | None,
 
 def merge(into: Slot, other: Slot) -> None:
     """Add a page or a template to a template with the same root label."""
-    into.pages += other.pages
-    into.size += other.size
-    into.linked += other.linked
-    into.repeats |= other.repeats
-    if len(into.values) < MANY:
-        into.values = set(sorted(into.values | other.values)[:MANY])
-    pairs = align(into, other)
-    for mine, theirs in pairs:
-        if mine is not None and theirs is not None:
-            merge(mine, theirs)
-    into.children = [mine if mine is not None else theirs for mine, theirs in pairs]
+    memo: dict = {}
+    todo = [(into, other)]
+    while todo:
+        a, b = todo.pop()
+        a.pages += b.pages
+        a.size += b.size
+        a.linked += b.linked
+        a.repeats |= b.repeats
+        if len(a.values) < MANY:
+            a.values = set(sorted(a.values | b.values)[:MANY])
+        pairs = align(a, b, memo)
+        todo += [(mine, theirs) for mine, theirs in pairs if mine is not None and theirs is not None]
+        a.children = [mine if mine is not None else theirs for mine, theirs in pairs]
 
 
 def dump(slot: Slot) -> list:
+    """The slots in preorder, each with the number of its children."""
     return [
-        slot.label, int(slot.other), slot.pages, sorted(slot.values), slot.size, slot.linked, int(slot.repeats),
-        [dump(c) for c in slot.children],
-    ]
+        [s.label, int(s.other), s.pages, sorted(s.values), s.size, s.linked, int(s.repeats), len(s.children)]
+        for s in _preorder(slot)
+    ]
 
 
 def load(data: list) -> Slot:
-    label, other, pages, values, size, linked, repeats, children = data
-    return Slot(label, bool(other), pages, set(values), size, linked, [load(c) for c in children], bool(repeats))
+    done: list[Slot] = []
+    for label, other, pages, values, size, linked, repeats, n in reversed(data):
+        children = [done.pop() for _ in range(n)]
+        done.append(Slot(label, bool(other), pages, set(values), size, linked, children, bool(repeats)))
+    return done[0]
 
 
 def prune(slot: Slot, least: float) -> None:
     """Leave out nodes of few pages, so that a template stays small however many pages it is of."""
-    slot.children = [c for c in slot.children if c.pages >= least]
-    for c in slot.children:
-        prune(c, least)
+    todo = [slot]
+    while todo:
+        top = todo.pop()
+        top.children = [c for c in top.children if c.pages >= least]
+        todo += top.children
 
 
 # A template of so many pages tells what is constant; a text that so few values stand
@@ -300,11 +333,13 @@ def _is_template(slot: Slot, pages: int) -> bool:
     return pages >= ENOUGH and slot.pages >= 0.5 * pages and slot.size > 0 and len(slot.values) == 1 and not slot.repeats
 
 
-def _content(slot: Slot, pages: int) -> int:
-    """Characters in slots that vary, below and in a node."""
-    if _is_template(slot, pages):
-        return 0
-    return slot.size - slot.linked + sum(_content(c, pages) for c in slot.children)
+def _contents(template: Slot) -> dict[int, int]:
+    """Per slot, by its id, the characters in slots that vary, below and in it."""
+    out: dict[int, int] = {}
+    for s in reversed(_preorder(template)):
+        below = sum(out[id(c)] for c in s.children)
+        out[id(s)] = 0 if _is_template(s, template.pages) else s.size - s.linked + below
+    return out
 
 
 def main_path(template: Slot) -> list[str]:
@@ -313,50 +348,51 @@ def main_path(template: Slot) -> list[str]:
     That is an article or main element with a good part of the varying text, else
     the deepest node that still has most of it.
     """
-    pages = template.pages
-    path, node, total = [], template, _content(template, pages)
-    named = _named(template, pages, [])
+    content = _contents(template)
+    path, node, total = [], template, content[id(template)]
+    named = _named(template, content)
     if named:
         size, labels = max(named, key=lambda n: n[0])
         if size > 0.3 * total:
             return labels
     while True:
-        best = max(node.children, key=lambda c: _content(c, pages), default=None)
+        best = max(node.children, key=lambda c: content[id(c)], default=None)
         inner = best is not None and not re.match(r"(p|h[1-6]|li|td|tr|blockquote|pre)\b", best.label)
-        if not inner or _content(best, pages) < 0.7 * total or best.repeats:
+        if not inner or content[id(best)] < 0.7 * total or best.repeats:
             return path
         node = best
         path.append(node.label)
 
 
-def _named(slot: Slot, pages: int, path: list[str]) -> list[tuple[int, list[str]]]:
-    out = []
-    for c in slot.children:
-        if c.other:
+def _named(template: Slot, content: dict[int, int]) -> list[tuple[int, list[str]]]:
+    out, todo, path = [], [(1, c) for c in reversed(template.children)], []
+    while todo:
+        depth, slot = todo.pop()
+        if slot.other:
             continue
-        here = [*path, c.label]
-        if re.match(r"(article|main)\b", c.label):
-            out.append((_content(c, pages), here))
-        if not c.label.startswith("article"):
-            out += _named(c, pages, here)
+        path[depth - 1 :] = [slot.label]
+        if re.match(r"(article|main)\b", slot.label):
+            out.append((content[id(slot)], path.copy()))
+        if not slot.label.startswith("article"):
+            todo += [(depth + 1, c) for c in reversed(slot.children)]
     return out
 
 
 def blocks(node: Node) -> list[str]:
     """Texts of the blocks of a node in page order, without what is ruled out by its name."""
-    out = []
-    for part in node.parts:
-        if isinstance(part, Node):
-            # The head of an article holds its title; other headers hold none.
-            if not part.other and (not part.label.startswith("header") or _has_title(part)):
-                out += blocks(part)
-        else:
+    out, todo = [], [node]
+    while todo:
+        part = todo.pop()
+        if not isinstance(part, Node):
             out.append(part[0])
+        # The head of an article holds its title; other headers hold none.
+        elif part is node or not part.other and (not part.label.startswith("header") or _has_title(part)):
+            todo += reversed(part.parts)
     return out
 
 
 def _has_title(node: Node) -> bool:
-    return any(re.match(r"h[1-6]\b", c.label) or _has_title(c) for c in node.children)
+    return any(re.match(r"h[1-6]\b", n.label) for n in _preorder(node)[1:])
 
 
 def _follow(node: Node, path: list[str]) -> list[Node]:

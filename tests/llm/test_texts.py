@@ -303,6 +303,18 @@ def test_matching_keeps_order_and_labels():
     assert dom.dump(back) == dom.dump(a)
 
 
+@pytest.mark.parametrize("deep", [10, 70, 5000])
+def test_deep_pages_are_whole(deep):
+    """End tags of a deep nest end the nest only, and what is ruled out in it stays out."""
+    inner = "<div>" * deep + "<p>deep</p><nav>menu</nav><div class=ad><div>buy</div></div>" + "</div>" * deep
+    page = f"<body><div class=wrap><article><p>first</p>{inner}<p>second</p></article><p>rail</p></div><p>last</p>"
+    assert dom.extract(dom.parse(page), ["body", "div:wrap", "article"]) == "first\ndeep\nsecond"
+    template = dom.slots(dom.parse(page))
+    dom.merge(template, dom.slots(dom.parse(page.replace("<nav>", "<p>odd</p><nav>"))))
+    assert dom.dump(dom.load(dom.dump(template))) == dom.dump(template)
+    assert dom.main_path(template) == ["body", "div:wrap", "article"]
+
+
 def test_broken_pages_do_not_fail():
     for page in ("<", "<p", "<a title=\"x>y", "<script>if(a<b)", "</p></div>", "<li>a<li>b", "<table><td>x", "a & b &#x; &nosuch;", "<!--", "<div>" * 500 + "x"):
         dom.extract(dom.parse(page), ["html", "body"])
