@@ -310,13 +310,41 @@ def load(data: list) -> Slot:
     return done[0]
 
 
-def prune(slot: Slot, least: float) -> None:
-    """Leave out nodes of few pages, so that a template stays small however many pages it is of."""
+RARE = ":*"
+
+
+def _tag(label: str) -> str:
+    return label.partition(":")[0]
+
+
+def _is_rare(slot: Slot, least: float) -> bool:
+    return slot.pages < least or slot.label.endswith((RARE, RARE + "other"))
+
+
+def fold(slot: Slot, least: float) -> None:
+    """Put siblings of one tag that few pages have into one, with their pages, texts and children.
+
+    So a template stays small however many pages it is of, and nothing leaves its sums:
+    blocks named anew by every page count together. What is ruled out by its name is
+    folded apart.
+    """
     todo = [slot]
     while todo:
         top = todo.pop()
-        top.children = [c for c in top.children if c.pages >= least]
-        todo += top.children
+        kept: list[Slot] = []
+        rare: dict[str, Slot] = {}
+        for c in top.children:
+            if not _is_rare(c, least):
+                kept.append(c)
+                continue
+            c.label = _tag(c.label) + RARE + ("other" if c.other else "")
+            if c.label in rare:
+                merge(rare[c.label], c)
+            else:
+                rare[c.label] = c
+                kept.append(c)
+        top.children = kept
+        todo += kept
 
 
 # A template of so many pages tells what is constant; a text that so few values stand
@@ -342,12 +370,15 @@ def _contents(template: Slot) -> dict[int, int]:
     return out
 
 
-def main_path(template: Slot) -> list[str]:
+def main_path(template: Slot) -> list[str | list[str]]:
     """Labels from the root to the node that holds the article.
 
     That is an article or main element with a good part of the varying text, else
-    the deepest node that still has most of it.
+    the deepest node that still has most of it. Siblings of one tag that less than half
+    of the pages have count as one node; a list in the path stands for it: its tag, then
+    the labels of the siblings of this tag that are not of it.
     """
+    fold(template, template.pages / 2)
     content = _contents(template)
     path, node, total = [], template, content[id(template)]
     named = _named(template, content)
@@ -360,21 +391,28 @@ def main_path(template: Slot) -> list[str]:
         inner = best is not None and not re.match(r"(p|h[1-6]|li|td|tr|blockquote|pre)\b", best.label)
         if not inner or content[id(best)] < 0.7 * total or best.repeats:
             return path
+        path.append(_step(best, node))
         node = best
-        path.append(node.label)
 
 
-def _named(template: Slot, content: dict[int, int]) -> list[tuple[int, list[str]]]:
-    out, todo, path = [], [(1, c) for c in reversed(template.children)], []
+def _step(slot: Slot, parent: Slot) -> str | list[str]:
+    if not slot.label.endswith(RARE):
+        return slot.label
+    tag = _tag(slot.label)
+    return [tag, *[c.label for c in parent.children if c is not slot and _tag(c.label) == tag]]
+
+
+def _named(template: Slot, content: dict[int, int]) -> list[tuple[int, list[str | list[str]]]]:
+    out, todo, path = [], [(1, c, template) for c in reversed(template.children)], []
     while todo:
-        depth, slot = todo.pop()
+        depth, slot, parent = todo.pop()
         if slot.other:
             continue
-        path[depth - 1 :] = [slot.label]
+        path[depth - 1 :] = [_step(slot, parent)]
         if re.match(r"(article|main)\b", slot.label):
             out.append((content[id(slot)], path.copy()))
         if not slot.label.startswith("article"):
-            todo += [(depth + 1, c) for c in reversed(slot.children)]
+            todo += [(depth + 1, c, slot) for c in reversed(slot.children)]
     return out
 
 
@@ -395,14 +433,18 @@ def _has_title(node: Node) -> bool:
     return any(re.match(r"h[1-6]\b", n.label) for n in _preorder(node)[1:])
 
 
-def _follow(node: Node, path: list[str]) -> list[Node]:
+def _follow(node: Node, path: list[str | list[str]]) -> list[Node]:
     here = [node]
-    for label in path:
-        here = [c for n in here for c in n.children if c.label == label]
+    for step in path:
+        inside = [c for n in here for c in n.children]
+        if isinstance(step, str):
+            here = [c for c in inside if c.label == step]
+        else:
+            here = [c for c in inside if _tag(c.label) == step[0] and c.label not in step[1:] and not c.other]
     return here
 
 
-def extract(page: Node, path: list[str] | None) -> str:
+def extract(page: Node, path: list[str | list[str]] | None) -> str:
     """The article of a page, given the path of its host's template; a page that lacks it is judged alone."""
     found = _follow(page, path) if path else []
     if not found:

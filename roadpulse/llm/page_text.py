@@ -34,9 +34,9 @@ def host(url: Column) -> Column:
 def _merged(found: dict[str, dom.Slot], name: str, slot: dom.Slot) -> None:
     if name in found:
         dom.merge(found[name], slot)
-        # A node of one page in a hundred is no template.
+        # A node of less than one page in a hundred is not kept apart.
         if found[name].pages % 64 == 0:
-            dom.prune(found[name], found[name].pages / 100)
+            dom.fold(found[name], found[name].pages / 100)
     else:
         found[name] = slot
 
@@ -69,7 +69,7 @@ def _paths(group: pd.DataFrame) -> pd.DataFrame:
 
 
 @lru_cache(maxsize=4096)
-def _path(data: str | None) -> list[str] | None:
+def _path(data: str | None) -> list[str | list[str]] | None:
     return json.loads(data) if data else None
 
 

@@ -315,6 +315,20 @@ def test_deep_pages_are_whole(deep):
     assert dom.main_path(template) == ["body", "div:wrap", "article"]
 
 
+@pytest.mark.parametrize("pages, parts", [(12, 1), (200, 1), (1000, 1), (1000, 3)])
+def test_containers_named_by_the_page_are_kept(spark, pages, parts):
+    """An article whose container is named anew by each page, beside a stable block of varying text."""
+    name = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    rows = [
+        (i, "http://h/", f"<body><div class='post tag-{name(i)}'><p>{'own words ' * 9}{i}</p><p>more {i}</p></div>"
+         f"<div class=rail><p>{'teaser ' * 5}{i * 7}</p></div>")
+        for i in range(pages)
+    ]
+    frame = spark.createDataFrame(rows, "page_id int, url string, html string").coalesce(1).repartition(parts)
+    got = {r["page_id"]: r["text"] for r in page_text.main_text(frame).collect()}
+    assert got == {i: f"{'own words ' * 9}{i}\nmore {i}" for i in range(pages)}
+
+
 def test_broken_pages_do_not_fail():
     for page in ("<", "<p", "<a title=\"x>y", "<script>if(a<b)", "</p></div>", "<li>a<li>b", "<table><td>x", "a & b &#x; &nosuch;", "<!--", "<div>" * 500 + "x"):
         dom.extract(dom.parse(page), ["html", "body"])
