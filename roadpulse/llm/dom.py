@@ -5,7 +5,9 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from collections.abc import Set
 from dataclasses import dataclass, field
+from hashlib import blake2b
 from zlib import crc32
 
 # Names of the markup language.
@@ -416,16 +418,86 @@ def _named(template: Slot, content: dict[int, int]) -> list[tuple[int, list[str
     return out
 
 
-def blocks(node: Node) -> list[str]:
-    """Texts of the blocks of a node in page order, without what is ruled out by its name."""
+# What lays out a page, and what holds items that belong together.
+_BOXES = frozenset("div section article main center table tbody tr td".split())
+_LISTS = frozenset("ul ol dl table".split())
+
+
+def _inside(place: int, label: str) -> int:
+    """Where a child is: a checksum of the tags from the root to it, as names may be a page's own."""
+    return crc32(f"/{_tag(label)}".encode(), place)
+
+
+def _key(place: int, text: str) -> int:
+    """Equal for aligned nodes of one text."""
+    body = text.encode("utf-8", "surrogatepass")
+    return int.from_bytes(blake2b(body, digest_size=8, key=place.to_bytes(4)).digest(), signed=True)
+
+
+def _kept(node: Node, place: int) -> list[tuple[Node, int]]:
+    """A node and what is below it in page order, without what is ruled out by its name."""
+    out, todo = [], [(node, place)]
+    while todo:
+        top, at = todo.pop()
+        # The head of an article holds its title; other headers hold none.
+        if top is node or not top.other and (not top.label.startswith("header") or _has_title(top)):
+            out.append((top, at))
+            todo += [(c, _inside(at, c.label)) for c in reversed(top.children)]
+    return out
+
+
+def marks(page: Node) -> list[tuple[int, int]]:
+    """``(place, text)`` of the blocks of a page, each once, and ``(place, 0)`` of their places."""
+    found = set()
+    for node, place in _kept(page, 0):
+        for part in node.parts:
+            if not isinstance(part, Node):
+                found.add((place, _key(place, part[0])))
+    return sorted(found | {(place, 0) for place, _ in found})
+
+
+def blocks(node: Node, place: int = 0, constant: Set[int] = frozenset()) -> list[str]:
+    """Texts of the blocks of a node in page order, without what is ruled out by its name or constant.
+
+    Items of a list or table stay if it stands among varying text, as rows of an
+    article do; between boxes that lay out a page it does not.
+    """
+    kept = _kept(node, place)
+    if not constant:
+        kept_ids = {id(n) for n, _ in kept}
+        return _in_order(node, kept_ids, kept_ids, {})
+    texts: dict[int, list[bool]] = {}  # by node, whether its texts vary
+    varies: dict[int, bool] = {}
+    mixed: dict[int, bool] = {}  # varying text outside of boxes
+    for n, at in reversed(kept):
+        own = [_key(at, p[0]) not in constant for p in n.parts if not isinstance(p, Node)]
+        below = [c for c in n.children if varies.get(id(c))]
+        texts[id(n)] = own
+        varies[id(n)] = any(own) or bool(below)
+        mixed[id(n)] = any(own) or any(_tag(c.label) not in _BOXES for c in below)
+    items: set[int] = set()
+    for n, _ in kept:
+        for c in n.children:
+            if id(n) in items or mixed[id(n)] and _tag(c.label) in _LISTS:
+                items.add(id(c))
+    return _in_order(node, varies.keys(), items, texts)
+
+
+def _in_order(node: Node, kept: Set[int], whole: Set[int], texts: dict[int, list[bool]]) -> list[str]:
+    """Texts of the nodes ``kept``: all of those that are ``whole``, of others those marked in ``texts``."""
     out, todo = [], [node]
     while todo:
         part = todo.pop()
         if not isinstance(part, Node):
-            out.append(part[0])
-        # The head of an article holds its title; other headers hold none.
-        elif part is node or not part.other and (not part.label.startswith("header") or _has_title(part)):
-            todo += reversed(part.parts)
+            out.append(part)
+        elif id(part) in kept:
+            marked = iter(texts.get(id(part), ()))
+            shown = [
+                p if isinstance(p, Node) else p[0]
+                for p in part.parts
+                if isinstance(p, Node) or next(marked, False) or id(part) in whole
+            ]
+            todo += reversed(shown)
     return out
 
 
@@ -433,20 +505,26 @@ def _has_title(node: Node) -> bool:
     return any(re.match(r"h[1-6]\b", n.label) for n in _preorder(node)[1:])
 
 
-def _follow(node: Node, path: list[str | list[str]]) -> list[Node]:
-    here = [node]
+def _follow(node: Node, path: list[str | list[str]]) -> list[tuple[Node, int]]:
+    here = [(node, 0)]
     for step in path:
-        inside = [c for n in here for c in n.children]
+        inside = [(c, _inside(at, c.label)) for n, at in here for c in n.children]
         if isinstance(step, str):
-            here = [c for c in inside if c.label == step]
+            here = [(c, at) for c, at in inside if c.label == step]
         else:
-            here = [c for c in inside if _tag(c.label) == step[0] and c.label not in step[1:] and not c.other]
+            here = [
+                (c, at) for c, at in inside if _tag(c.label) == step[0] and c.label not in step[1:] and not c.other
+            ]
     return here
 
 
-def extract(page: Node, path: list[str | list[str]] | None) -> str:
-    """The article of a page, given the path of its host's template; a page that lacks it is judged alone."""
+def extract(page: Node, path: list[str | list[str]] | None, constant: Set[int] = frozenset()) -> str:
+    """The article of a page, given the path and the constant texts of its host's template.
+
+    A page that lacks the path is judged alone; one without any text of its own is whole.
+    """
     found = _follow(page, path) if path else []
     if not found:
         found = _follow(page, main_path(slots(page)))
-    return "\n".join(b for n in found for b in blocks(n))
+    own = [b for n, at in found for b in blocks(n, at, constant)]
+    return "\n".join(own or [b for n, at in found for b in blocks(n, at)])

@@ -293,6 +293,32 @@ def test_constant_blocks_are_template(spark):
     assert page_text.main_text(frame.limit(0)).count() == 0
 
 
+def test_constant_boxes_are_left_out(spark):
+    """Exact texts: what is the same on the pages of a host is not content, whatever it is called."""
+    before = "<div><p>Same line</p></div>"
+    pages = [f"<body>{before}<div><p>{'own words ' * 9}{i}</p><p>more {i}</p></div><div><p>End</p></div>" for i in range(9)]
+    pages += pages[:1] * 20  # copies count once
+    menu = "<ul><li>Home<li>News</ul><div class=x9>We use cookies</div>"
+    kinds = [("News", 6), ("Sport", 4)]
+    kinds = [k for k, n in kinds for _ in range(n)]
+    plain = [
+        f"<body>{menu}<div class='post {k}'><p>{k}</p><p>Text {i}</p><div>Read on</div><table><td>size<td>{i}</table></div>"
+        "<div>Imprint</div>"
+        for i, k in enumerate(kinds)
+    ]
+    rows = [(i, "http://h/", p) for i, p in enumerate(pages)] + [(100 + i, "http://i/", p) for i, p in enumerate(plain)]
+    rows += [(200 + i, "http://few/", f"<body><div>Same line</div><div>{i}</div>") for i in range(3)]
+    rows += [(300 + i, "http://same/", "<body><div>Same line</div><div>all</div>") for i in range(9)]
+    frame = spark.createDataFrame(rows, "page_id int, url string, html string")
+    own = lambda i: f"{'own words ' * 9}{i}\nmore {i}"
+    want = {i: own(i if i < 9 else 0) for i in range(29)}
+    want |= {100 + i: f"{k}\nText {i}\nsize\n{i}" for i, k in enumerate(kinds)}
+    want |= {200 + i: f"Same line\n{i}" for i in range(3)} | {300 + i: "Same line\nall" for i in range(9)}
+    for parts in (1, 5):
+        got = {r["page_id"]: r["text"] for r in page_text.main_text(frame.repartition(parts)).collect()}
+        assert got == want
+
+
 def test_matching_keeps_order_and_labels():
     a = dom.slots(dom.parse("<body><nav>x</nav><div><h1>t</h1><p>a</p><p>b</p></div><footer>f</footer>"))
     b = dom.slots(dom.parse("<body><div class=ad>x</div><div><h1>u</h1><p>c</p></div><footer>g</footer>"))
