@@ -6,7 +6,7 @@ products are the nearest neighbours, and the triangle inequality holds.
 
 1. Data and queries go to the nearest of a fixed number of pivots.
 2. Summaries per cell (the largest distance of its queries; the few smallest distances
-   of its data) bound how far the k-th neighbour of any of its queries can be.
+   of its data, one per id) bound how far the k-th neighbour of any of its queries can be.
 3. A vector is sent to those blocks of queries only whose bound it can meet: its
    distance to its own pivot must be at least that between the pivots, less the
    block's radius and bound.
@@ -83,36 +83,42 @@ def _cells(dim: int, norm2: float, pivots: np.ndarray, every: int):
 
 
 def _smallest(n: int):
-    """The ``n`` smallest distances of each cell of a task."""
+    """The ``n`` smallest distances of each cell of a task, of distinct ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, np.ndarray] = {}
+        kept: dict[int, pd.DataFrame] = {}
         for batch in batches:
-            cells, distances = batch.column("cell").to_numpy(), batch.column("distance").to_numpy()
-            for cell in np.unique(cells).tolist():
-                both = np.concatenate([kept.get(cell, np.zeros(0)), distances[cells == cell]])
-                kept[cell] = np.sort(both)[:n]
-        rows = [(c, d) for c, values in kept.items() for d in values.tolist()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.float64())],
-            names=["cell", "distance"],
-        )
+            rows = batch.to_pandas().sort_values(["distance", "vec_id"]).drop_duplicates(["cell", "vec_id"])
+            for cell, some in rows.groupby("cell").head(n).groupby("cell"):
+                both = pd.concat([kept[cell], some]) if cell in kept else some
+                kept[cell] = both.sort_values(["distance", "vec_id"]).drop_duplicates("vec_id").head(n)
+        for some in kept.values():
+            yield pa.RecordBatch.from_pandas(some[["cell", "vec_id", "distance"]], preserve_index=False)
 
     return run
 
 
 def bounds(
-    pivots: np.ndarray, radius: dict[int, float], near: list[tuple[int, float]], needed: int
+    pivots: np.ndarray,
+    radius: dict[int, float],
+    near: list[tuple[int, float]],
+    needed: int,
+    ids: list[int] | None = None,
 ) -> dict[int, np.ndarray]:
     """Per cell of queries the least distance to its pivot that data of each cell must have.
 
     ``radius`` is of the queries' cells; ``near`` has the smallest distances of data
-    to their pivot, of which ``needed`` give the bound. Too few data bound nothing.
+    to their pivot, of which ``needed`` of distinct ``ids`` (without them, each is of
+    its own) give the bound. Too few data bound nothing.
     """
     between = np.sqrt(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(2))
+    ids = list(range(len(near))) if ids is None else ids
     out = {}
     for cell, r in radius.items():
-        reach = sorted(r + between[cell, c] + d for c, d in near)
+        nearest: dict[int, float] = {}
+        for (c, d), who in zip(near, ids, strict=True):
+            nearest[who] = min(nearest.get(who, np.inf), r + between[cell, c] + d)
+        reach = sorted(nearest.values())
         farthest = reach[needed - 1] if len(reach) >= needed else np.inf
         out[cell] = between[cell] - r - farthest - SLACK * (1 + between[cell] + r)
     return out
@@ -153,15 +159,14 @@ def _solve(dim: int, k: int):
             rows.append(row), found.append(part_ids[at]), scores.append(score[row, at])
         if not rows:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        row, vec_id, value = np.concatenate(rows), np.concatenate(found), np.concatenate(scores)
-        order = np.lexsort((vec_id, -value, row))
-        row, vec_id, value = row[order], vec_id[order], value[order]
-        begin = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        rank = np.arange(len(row)) - np.repeat(begin, np.diff(np.r_[begin, len(row)]))
+        # The best of an id, over all of its rows.
+        query_id, vec_id, value = query_ids[np.concatenate(rows)], np.concatenate(found), np.concatenate(scores)
+        order = np.lexsort((vec_id, -value, query_id))
+        query_id, vec_id, value = query_id[order], vec_id[order], value[order]
+        begin = np.flatnonzero(np.r_[True, query_id[1:] != query_id[:-1]])
+        rank = np.arange(len(query_id)) - np.repeat(begin, np.diff(np.r_[begin, len(query_id)]))
         best = rank < k
-        return pd.DataFrame(
-            {"query_id": query_ids[row[best]], "vec_id": vec_id[best], "score": value[best].astype(np.int64)}
-        )
+        return pd.DataFrame({"query_id": query_id[best], "vec_id": vec_id[best], "score": value[best].astype(np.int64)})
 
     return run
 
@@ -174,11 +179,14 @@ def top_k(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame
     below 2**53; ties go to the smaller id. Vectors that are null or hold a null or
     non-finite component, and rows without id, take no part; shorter vectors count as
     ending in zeros. Rows that repeat an id are all candidates, and a query that repeats
-    is answered with the best of all its rows. An empty table, or one without queries,
+    is answered with the best of the pairs of all its rows, as in the SQL, where a
+    candidate may come once per row of the query. An empty table, or one without queries,
     gives an empty result; other columns are not looked at.
 
-    The pivots (``PIVOTS`` vectors) and two numbers per pair of cell and block reach
-    the driver; no task holds more than a block and a slice.
+    The pivots (``PIVOTS`` vectors), ``k + 1`` numbers per cell and two per pair of cell
+    and block reach the driver; no task holds more than a block and a slice. Rows are
+    dealt by their number, not their id; of equal rows of a query, ``k`` are solved, as
+    more cannot change the best.
     """
     spark = vectors.sparkSession
     for_python(spark, rows=2000)
@@ -196,16 +204,29 @@ def top_k(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame
     pivots = np.column_stack([points, np.sqrt(np.maximum(norm2 - (points**2).sum(1), 0))])
 
     schema = "vec_id bigint, vec array<double>, cell int, distance double, query_cell int, query_distance double"
-    placed = materialise(rows.mapInArrow(_cells(dim, norm2, pivots, every), schema), "knn-cells")
-    queries = placed.filter("query_cell >= 0")
+    placed = rows.mapInArrow(_cells(dim, norm2, pivots, every), schema)
+    placed = materialise(placed.withColumn("row", F.monotonically_increasing_id()), "knn-cells")
+    place = F.min(F.struct("query_cell", "query_distance")).alias("p")
+    queries = placed.filter("query_cell >= 0").groupBy("vec_id", "vec").agg(place, F.count("*").alias("n"))
+    copies = F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))).alias("copy")
+    queries = queries.select("vec_id", "vec", "p.query_cell", "p.query_distance", copies)
     asked = queries.groupBy("query_cell").agg(F.max("query_distance").alias("r"), F.count("*").alias("n")).collect()
     if not asked:
         return spark.createDataFrame([], result)
-    near = placed.select("cell", "distance").mapInArrow(_smallest(k + 1), "cell int, distance double")
-    near = near.groupBy("cell").agg(F.array_sort(F.collect_list("distance")).alias("d"))
-    near = near.select("cell", F.explode(F.slice("d", 1, k + 1)).alias("distance")).collect()
-    # One of the nearest may be the query itself.
-    limit = bounds(pivots, {r["query_cell"]: r["r"] for r in asked}, [tuple(r) for r in near], k + 1)
+    near = placed.select("cell", "vec_id", "distance").mapInArrow(
+        _smallest(k + 1), "cell int, vec_id bigint, distance double"
+    )
+    near = near.groupBy("cell", "vec_id").agg(F.min("distance").alias("distance"))
+    near = near.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("distance", "vec_id"))).alias("d"))
+    near = near.select("cell", F.explode(F.slice("d", 1, k + 1)).alias("d")).select("cell", "d.*").collect()
+    # One of the nearest ids may be the query's own.
+    limit = bounds(
+        pivots,
+        {r["query_cell"]: r["r"] for r in asked},
+        [(r["cell"], r["distance"]) for r in near],
+        k + 1,
+        [r["vec_id"] for r in near],
+    )
 
     # Blocks: small cells together, large ones in several.
     limits, first, pieces, open_size = [], {}, {}, BLOCK_QUERIES
@@ -225,12 +246,12 @@ def top_k(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame
     def of_cell(values: dict[int, int]) -> Column:
         return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("query_cell"))
 
-    block = of_cell(first) + F.pmod(F.xxhash64("vec_id", F.lit("block")), of_cell(pieces))
+    block = of_cell(first) + F.pmod(F.xxhash64("vec_id", "vec", "copy", F.lit("block")), of_cell(pieces))
     in_slices = F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1)))
     target = (F.col("block") * n_slices + F.col("slice")).cast("bigint")
     asking = queries.select("vec_id", "vec", block.alias("block"), in_slices.alias("slice"))
     asking = asking.select(target.alias("target"), "vec_id", "vec", F.lit(True).alias("asks"))
-    sliced = placed.withColumn("slice", F.pmod(F.xxhash64("vec_id", F.lit("slice")), F.lit(n_slices)).cast("int"))
+    sliced = placed.withColumn("slice", F.pmod(F.xxhash64("row", F.lit("slice")), F.lit(n_slices)).cast("int"))
     sent = sliced.select("vec_id", "vec", "cell", "distance", "slice").mapInArrow(
         _send(np.array(limits), n_slices), "target bigint, vec_id bigint, vec array<double>, asks boolean"
     )

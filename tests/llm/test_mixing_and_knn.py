@@ -107,6 +107,44 @@ def test_top_k_equals_brute_force(spark, monkeypatch, slice_rows):
     assert got == brute(rows, 5, 10)
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.01, 3.0])
+def test_top_k_of_repeated_ids(spark, monkeypatch, spread):
+    """An id with a third of the rows, others with a few: all pairs of rows, as in the SQL."""
+    monkeypatch.setattr(knn, "SLICE_ROWS", 60)
+    monkeypatch.setattr(knn, "BLOCK_QUERIES", 20)
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(6, 8)) * 4
+    rows = [(i, centre[i % 6] + rng.normal(size=8)) for i in range(1, 401)]
+    rows += [(0, centre[0] + spread * rng.normal(size=8)) for _ in range(200)]
+    rows += [(50, rows[49][1]) for _ in range(2)] + [(100, rng.normal(size=8)) for _ in range(3)] + [(7, rows[6][1])] * 9
+    rows = [(i, [float(x) for x in v]) for i, v in rows]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = sorted(map(tuple, knn.top_k(frame).collect()))
+    vectors = [(i, np.floor(256 * np.array(v))) for i, v in rows]
+    want = []
+    for q in sorted({i for i, _ in rows if i % 50 == 0}):
+        pairs = sorted((-int(x @ y), i) for p, x in vectors if p == q for i, y in vectors if i != q)
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(pairs[:5])]
+    assert got == sorted(want)
+
+
+def test_top_k_beside_rows_of_the_query(spark):
+    """The query's own rows lie on a pivot, nearer than any other id."""
+    rng = np.random.default_rng(4)
+    rows = [(0, [50.0, 0.0, 0.0])] * 60 + [(i, [float(x) for x in rng.normal(size=3)]) for i in range(1, 41)]
+    got = sorted(map(tuple, knn.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()))
+    best = min((-256 * 50 * int(np.floor(256 * v[0])), i) for i, v in rows if i)
+    assert got == [(0, n, best[1], -best[0]) for n in range(1, 6)]
+
+
+def test_bounds_count_ids(spark):
+    """Rows of the query's own id do not stand for its neighbours."""
+    pivots = np.array([[0.0, 0.0], [100.0, 0.0]])
+    near = [(0, 0.0), (0, 0.1), (0, 0.2), (1, 0.1)]
+    limit = knn.bounds(pivots, {0: 1.0}, near, 2, [9, 9, 9, 4])
+    assert limit[0][1] < 0
+
+
 def test_top_k_of_few(spark):
     schema = "vec_id bigint, embedding array<float>"
     assert knn.top_k(spark.createDataFrame([], schema)).count() == 0
