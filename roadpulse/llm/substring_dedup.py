@@ -1,22 +1,21 @@
-"""Repeated passages by sparse suffix trees over words, partitioned by prefix.
+"""Repeated passages by fingerprints of passages of words, grouped by anchor.
 
 A passage of ``WINDOW`` words holds ``WINDOW - ANCHOR + 1`` runs of ``ANCHOR`` words;
 the one with the smallest hash is its anchor, so equal passages have equal anchors,
-and neighbouring passages mostly share theirs. Instead of every suffix of the corpus,
-the suffixes that start at an anchor are kept: a run of neighbouring passages with one
-anchor is one leaf, with the fingerprint of each passage's path.
+and neighbouring passages mostly share theirs. A run of neighbouring passages with one
+anchor is kept together, with the fingerprint of each passage, its path. This stands
+in for suffix trees: there are no suffixes, no tree and no repeats of other lengths.
 
-Leaves are split by prefix. The prefix is the anchor's words; for anchors that many
-passages of a sample have it is the whole passage. So a group is a subtree that fits
-into memory: sorted by anchor and path, leaves with the same path are those below one
-internal node of depth ``WINDOW`` or more, a repeat. All but those of the smallest
-``doc_id`` are removed.
+Passages are dealt by the anchor; for anchors that many passages of a sample have, by
+the whole passage. So a group fits into memory: sorted by one number of anchor and path,
+passages of the same number are a repeat. All but those of the smallest ``doc_id`` are
+removed.
 
 Before the shuffle a task looks for repeats among its own documents and sends only the
 first of each, so a passage in very many documents is sent once per chunk of a task.
 
-Words, anchors and paths are known by hashes: a false repeat needs an equal 63-bit
-anchor and an equal 32-bit path in one group.
+Words are not compared: anchor and path are folded into one 64-bit number, and a false
+repeat needs an equal number in one group.
 """
 
 from __future__ import annotations
