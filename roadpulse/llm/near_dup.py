@@ -11,8 +11,10 @@
    that differ, so for small sets it turns away no true pair.
 4. Every class is compared with one other of each of its buckets, drawn anew for each
    bucket. Where a bucket still has several components, the classes outside its main
-   one are compared with all of it. So no bucket emits all its pairs, and no pair of a
-   bucket is left both unconnected and uncompared.
+   one are compared with all of it. So no pair of a bucket is left both unconnected and
+   uncompared. A bucket of similar members emits few pairs; one of many members that are
+   mostly not similar, as documents with one long template, emits nearly all of its
+   pairs, before the sketches turn them away.
 5. Pairs that the sketches pass are confirmed on their full shingle sets, unless they
    are connected already.
 """
