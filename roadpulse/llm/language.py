@@ -196,23 +196,32 @@ def train(documents: DataFrame) -> Model:
     """Context trees of the languages of ``documents`` (``doc_id, text, lang``).
 
     Rows without text or ``lang`` teach nothing. Of each language about
-    ``TRAINING_DOCUMENTS`` of at most ``TRAINING_CHARS`` characters are taken, by a
-    hash of the id; Spark counts their byte sequences, and only the counts, bounded
+    ``TRAINING_DOCUMENTS`` are taken, at least one, by a hash of id and text, and of each
+    ``TRAINING_CHARS`` characters at most, from a place by hash; Spark counts their byte sequences, and only the counts, bounded
     by the sample, reach the driver. No language gives a model without languages.
     """
     for_python(documents.sparkSession)
     rows = only(documents, doc_id="doc_id", text="text", lang="lang").filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= TRAINING_CHARS)
+        F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+
+    def number(use: str) -> Column:
+        return F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(use)), 32) / F.lit(2.0**32)
+
+    # Empty texts count only where a language has no others.
+    draw = F.when(F.length("text") > 0, number("train")).otherwise(F.lit(1.0))
+    drawn = rows.withColumn("draw", draw)
+    sizes = drawn.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).collect()
     if not sizes:
         return compile_trees({})
-    draw = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit("train")), 32) / F.lit(2.0**32)
+    shares = {r["lang"]: max(TRAINING_DOCUMENTS / r["n"], r["least"]) for r in sizes}
     share = F.element_at(
-        F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(TRAINING_DOCUMENTS / n))]),
-        F.col("lang"),
+        F.create_map(*[x for lang, most in shares.items() for x in (F.lit(lang), F.lit(most))]), F.col("lang")
     )
-    sample = rows.filter(draw < share).select("lang", "text")
+    spare = F.greatest(F.length("text") - TRAINING_CHARS + 1, F.lit(1))
+    first = (F.floor(number("place") * spare) + 1).cast("int")
+    part = F.substring(F.col("text"), first, F.lit(TRAINING_CHARS))
+    sample = drawn.filter(F.col("draw") <= share).select("lang", part.alias("text"))
     counted = sample.mapInArrow(_counts, "lang string, seq bigint, number bigint")
     found = counted.groupBy("lang", "seq").agg(F.sum("number").alias("number")).toPandas()
     return compile_trees({

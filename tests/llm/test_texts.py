@@ -259,6 +259,14 @@ def test_texts_without_language(spark):
     assert sorted((r["doc_id"] or -1, r["lang"]) for r in unlabelled.collect()) == [(-1, None), (4, "fr")]
 
 
+def test_every_labelled_language_is_learned(spark):
+    """One with long documents only, and one whose many rows share an id."""
+    rows = [(i, f"the cat and the dog {i}", "en") for i in range(20)] + [(50, "le chat et le chien " * 2000, "fr")]
+    rows += [(7, f"der hund und die katze {i}", "de") for i in range(200_000)]
+    model = language.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert sorted(model.languages) == ["de", "en", "fr"]
+
+
 # --- pages ------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T {n}</title><style>p{{}}</style><script>var t="</p>";f({n})</script></head>
