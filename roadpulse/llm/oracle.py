@@ -168,3 +168,112 @@ with vectors as (
 select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
 from scored qualify rank <= 5
 """
+
+# The CRC-32 of every byte, by eight steps of its polynomial.
+_CRC_TABLE = """
+step(b, c, k) as (
+    select i::bigint, i::bigint, 0 from range(256) t(i)
+    union all
+    select b, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from step where k < 8
+), crc_table as (
+    select list(c order by b) as t from step where k = 8
+),"""
+
+ORACLE["op12_ngram_resampling"] = (
+    "with recursive " + _CRC_TABLE + r"""
+words as (
+    select 's' as side, row_number() over () as row, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+    union all
+    select 't', row_number() over (), null, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+    from benchmark
+), grams as (
+    select side, row, gram, count(*) as n from (
+        select side, row, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as gram
+        from words, range(1, 4) r(k) where len(w) >= k)
+    group by all
+), buckets as (
+    select gram, xor(4294967295, list_reduce(list_prepend(4294967295::bigint,
+        list_transform(range(1, strlen(gram) + 1), lambda i: ('0x' || substr(h, 2 * i - 1, 2))::bigint)),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) % 10000 as bucket
+    from (select gram, hex(encode(gram)) as h from (select distinct gram from grams)), crc_table
+), counts as (
+    select bucket, coalesce(sum(n) filter (side = 's'), 0)::double as s, coalesce(sum(n) filter (side = 't'), 0)::double as t
+    from grams join buckets using (gram) group by bucket
+), gains as (
+    select bucket, floor(1000 * ln((t + 1) * (sum(s) over () + 10000) / ((s + 1) * (sum(t) over () + 10000))))::bigint as gain
+    from counts
+), weights as (
+    select row, sum(n)::bigint as n_features, sum(n * gain)::bigint as weight
+    from grams join buckets using (gram) join gains using (bucket) where side = 's' group by row
+), scored as (
+    select doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((
+            ('0x' || substr(sha256('42:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double)
+            / 4294967296::double)))::bigint as score
+    from words left join weights using (row) where side = 's'
+), placed as (
+    select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls last, n_features) as place,
+        count(*) filter (n_words >= 20) over () as n
+    from scored
+)
+select doc_id, n_features, weight, score, case when n_words >= 20 and place <= 5 * n // 100 then place end as rank
+from placed
+"""
+)
+
+ORACLE["op13_burst_trie"] = (
+    "with recursive " + _CRC_TABLE + r"""
+turns as (
+    select conv_id, row_number() over (partition by conv_id order by turn nulls first, id) as place, id, chars
+    from (select conv_id, turn, length(coalesce(text, ''))::bigint as chars,
+            substr(sha256(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) as id
+        from conversations where conv_id is not null)
+), convs as (
+    select conv_id, conv_id - conv_id % 100 as hundred,
+        xor(4294967295, list_reduce(list_prepend(4294967295::bigint,
+            list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+            lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) % 6 as h
+    from (select distinct conv_id from turns), crc_table
+), rebuilt as (
+    select c.conv_id, t.place, t.id, t.chars from convs c join turns t on t.conv_id = c.hundred and t.place <= c.h
+    union all
+    select c.conv_id, t.place + 1000000000, t.id, t.chars from convs c join turns t on t.conv_id = c.conv_id and t.place > c.h
+), placed as (
+    select conv_id, chars, row_number() over w as depth, list(id) over w as prefix
+    from rebuilt window w as (partition by conv_id order by place rows unbounded preceding)
+), members as (
+    select conv_id, depth, chars, prefix from placed
+    union all
+    select conv_id, 0, 0, [] from convs
+), ends as (
+    select conv_id, max(depth) as depth from members group by conv_id
+), nodes as (
+    select depth, prefix, min(m.conv_id) as conv_id, max(chars) as chars, count(*) as n_convs,
+        sha256(coalesce(string_agg(e.conv_id::varchar, ',' order by e.conv_id), '')) as ends_sha256
+    from members m left join ends e using (conv_id, depth)
+    group by depth, prefix
+), placement as (
+    select m.conv_id as member, m.depth, n.conv_id from members m join nodes n using (depth, prefix)
+), linked as (
+    select n.*, p.conv_id as parent_conv_id
+    from nodes n left join placement p on p.member = n.conv_id and p.depth = n.depth - 1
+), counted as (
+    select l.*, coalesce(k.n_children, 0) as n_children
+    from linked l left join (select parent_conv_id, depth - 1 as depth, count(*) as n_children
+        from linked where depth > 0 group by all) k
+        on k.parent_conv_id = l.conv_id and k.depth = l.depth
+), sums as (
+    select a.conv_id, a.depth, count(*) filter (c.n_children = 0) as n_leaves,
+        sum((c.n_convs - 1) * c.chars)::bigint as saved_tokens
+    from counted c join placement a on a.member = c.conv_id and a.depth <= c.depth
+    group by a.conv_id, a.depth
+)
+select c.conv_id, c.depth, c.parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+from counted c join sums s using (conv_id, depth)
+"""
+)

@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import imatch, knn, language, mixing, near_dup, page_text, pieces, pii, substring_dedup, token_files
+from roadpulse.llm import (
+    imatch,
+    knn,
+    language,
+    mixing,
+    near_dup,
+    page_text,
+    pieces,
+    pii,
+    quality,
+    resampling,
+    substring_dedup,
+    token_files,
+    trie,
+)
 from roadpulse.storage import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +100,18 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = page_text.main_text(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query
+def op11_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_ngram_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))

@@ -16,7 +16,7 @@ DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
