@@ -131,7 +131,7 @@ def on_files(spark: SparkSession, command: str, options: dict) -> None:
         cleaning_audit(records).show(truncate=False)
     elif command == "chunks":
         records = read_station_csv(spark, options["input"])
-        assigned = assign_chunks(records, options["order"], options["chunk_size"], from_scan=True)
+        assigned = assign_chunks(records, options["order"], options["chunk_size"], from_scan=True, borders=True)
         write_chunks(assigned, options["output"])
     elif command == "publish":
         publish(read_station_files(spark, options["input"]), options["kafka_servers"], options["kafka_topic"])

@@ -32,17 +32,19 @@ def _per_window(rows: DataFrame, width: str, *measures: Column) -> DataFrame:
     )
 
 
-def window_aggregate(readings: DataFrame, width: str) -> DataFrame:
+def window_aggregate(readings: DataFrame, width: str, counted: bool = False) -> DataFrame:
     """Average speed, vehicles and congestion per window and region.
 
     Works on a batch and, behind a watermark, on a stream. NULL measures are
-    ignored; readings without a region form a group of their own.
+    ignored; readings without a region form a group of their own. ``counted`` adds
+    ``readings``, how many there are.
     """
     return _per_window(
         readings,
         width,
         F.avg("speed").alias("avg_speed"),
         F.sum("vehicle_count").alias("total_vehicles"),
+        *[F.count(F.lit(1)).alias("readings")] * counted,
     ).select(
         "region",
         "window_start",
@@ -50,6 +52,7 @@ def window_aggregate(readings: DataFrame, width: str) -> DataFrame:
         "avg_speed",
         "total_vehicles",
         congestion(F.col("total_vehicles"), F.col("avg_speed")).alias("congestion_index"),
+        *["readings"] * counted,
     )
 
 

@@ -27,10 +27,11 @@ from roadpulse.operators import (
 )
 from roadpulse.plans import feeds
 from roadpulse.schemas import BASE_COLUMNS, FLOW_NAMES, SPEED_NAMES, STATION_READING
+from roadpulse.sinks import fanout
 from roadpulse.sinks import files as sinks
 from roadpulse.sources import files as sources
 from roadpulse.storage import fresh_path, materialise
-from roadpulse.streaming import job
+from roadpulse.streaming import job, open_windows
 from roadpulse.streaming.params import JobParams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,7 +281,7 @@ def sink_chunks(spark, sf_dir):
     path = fresh_path(spark, "chunks")
     records = feeds.station_records(spark, sf_dir).select("event_id", "Timestamp", "Station")
     order = ["Timestamp", "Station", "event_id"]
-    chunks.write_chunks(chunks.assign_chunks(records, order, 1000, from_scan=True), path)
+    chunks.write_chunks(chunks.assign_chunks(records, order, 1000, from_scan=True, borders=True), path)
     written = spark.read.option("header", True).csv(path).select(
         F.col("chunk").cast("bigint").alias("chunk_id"),
         F.col("event_id").cast("bigint").alias("event_id"),
@@ -721,22 +722,26 @@ def stream_typed_updates(spark, sf_dir):
     return sinks.read_updates(spark, log, keys)
 
 
-@measured
-def stream_late_data(spark, sf_dir):
-    """Errors of the first ten days arrive last and are dropped as late."""
+def _late_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Ten days at a time; errors of the first ten days arrive last."""
     events = feeds.event_readings(spark, sf_dir)
     ten_days, twenty_days = (
         F.lit(day).cast("timestamp_ntz") for day in ("2024-01-11", "2024-01-21")
     )
     # An event without a type is not late.
     late = F.col("region").eqNullSafe("error") & (F.col("ts") < ten_days)
-    arrivals = [
+    return [
         events.where(~late & (F.col("ts") < ten_days)),
         events.where((F.col("ts") >= ten_days) & (F.col("ts") < twenty_days)),
         events.where(F.col("ts") >= twenty_days),
         events.where(late),
     ]
-    return _in_turns(spark, arrivals)
+
+
+@measured
+def stream_late_data(spark, sf_dir):
+    """Errors of the first ten days arrive last and are dropped as late."""
+    return _in_turns(spark, _late_arrivals(spark, sf_dir))
 
 
 @measured
@@ -747,15 +752,52 @@ def stream_resume(spark, sf_dir):
     return _in_turns(spark, [events.where(F.col("ts") < half), events.where(F.col("ts") >= half)])
 
 
-def _in_turns(spark: SparkSession, arrivals: list[DataFrame]) -> DataFrame:
+def _run_in_turns(spark: SparkSession, arrivals: list[DataFrame], **changes) -> JobParams:
     """Let each part arrive, run the job to its end, and start it again."""
     inbox = fresh_path(spark, "inbox")
-    params = job_params(spark, input_path=inbox)
+    params = job_params(spark, input_path=inbox, **changes)
     for part in arrivals:
         part.withColumn("ts", F.col("ts").cast("timestamp")).write.mode("append").parquet(inbox)
         stream = spark.readStream.schema(spark.read.parquet(inbox).schema).parquet(inbox)
         job.run(spark, params, stream)
-    return sources.read_aggregates(spark, params.output_path)
+    return params
+
+
+def _in_turns(spark: SparkSession, arrivals: list[DataFrame]) -> DataFrame:
+    return sources.read_aggregates(spark, _run_in_turns(spark, arrivals).output_path)
+
+
+@measured
+def stream_fan_out(spark, sf_dir):
+    """Closed windows to Parquet and to CSV from one query."""
+    paths = {"parquet": fresh_path(spark, "fan-parquet"), "csv": fresh_path(spark, "fan-csv")}
+    stream = job.windowed_stream(feeds.stream_event_readings(spark, sf_dir), "1 hour", "20 seconds")
+    outputs = {"parquet": fanout.parquet_output(paths["parquet"]), "csv": fanout.csv_output(paths["csv"])}
+    fanout.fan_out_sink(stream, outputs, fresh_path(spark, "fan-checkpoint"), "available-now").start().awaitTermination()
+    written = {
+        "parquet": sources.read_aggregates(spark, paths["parquet"]),
+        "csv": spark.read.schema(stream.schema).option("header", True).csv(f"{paths['csv']}/batch=*"),
+    }
+    return written["parquet"].withColumn("output", F.lit("parquet")).unionByName(
+        written["csv"].withColumn("output", F.lit("csv"))
+    )
+
+
+@measured
+def stream_open_windows(spark, sf_dir):
+    """Emitted and open windows: all of the batch aggregate, the newest windows included."""
+    params = job_params(spark)
+    job.run(spark, params, feeds.stream_event_readings(spark, sf_dir))
+    return open_windows.current_windows(spark, params.output_path, params.checkpoint_path)
+
+
+@query
+def stream_readings_ledger(spark, sf_dir):
+    """Where the readings of ``stream_late_data`` went, the late ones counted one by one."""
+    params = _run_in_turns(
+        spark, _late_arrivals(spark, sf_dir), count_readings=True, metrics_path=fresh_path(spark, "metrics")
+    )
+    return open_windows.readings_ledger(spark, params.output_path, params.checkpoint_path, params.metrics_path)
 
 
 @measured

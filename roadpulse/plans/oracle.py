@@ -105,6 +105,9 @@ def _closed(ctes: str, width: str) -> str:
 WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM readings) - INTERVAL '20 seconds'"""
 
 
+_LAST_CLOSED = "(SELECT date_trunc('millisecond', max(ts)) FROM readings) - INTERVAL '20 seconds'"
+
+
 def _plain_aggregate(width: str) -> str:
     return f"""WITH {_EVENT_READINGS}, {_windows(width)}
 SELECT region, window_start, window_end, {_round("mean_speed")} AS avg_speed, total_vehicles
@@ -464,6 +467,19 @@ FROM station WHERE time_text <> 'bad' GROUP BY 1, 2""",
 )""",
         "1 hour",
     ),
+    "stream_fan_out": f"""SELECT * FROM ({_closed(_EVENT_READINGS, "1 hour")})
+CROSS JOIN (VALUES ('parquet'), ('csv')) AS outputs(output)""",
+    "stream_open_windows": f"""WITH {_EVENT_READINGS}, {_windows("1 hour")}
+SELECT {_AGGREGATE_COLUMNS}, window_end > {_LAST_CLOSED} AS is_open FROM aggregates""",
+    "stream_readings_ledger": f"""WITH {_EVENT_READINGS},
+judged AS (
+  SELECT region IS NOT DISTINCT FROM 'error' AND ts < TIMESTAMP '2024-01-11' AS late,
+    time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= {_LAST_CLOSED} AS closed
+  FROM readings WHERE ts IS NOT NULL
+)
+SELECT count(*) AS arrived, count(*) FILTER (NOT late AND closed) AS emitted,
+  count(*) FILTER (NOT late AND NOT closed) AS open_now, count(*) FILTER (late) AS late
+FROM judged""",
     "stream_resume": _closed(_EVENT_READINGS, "1 hour"),
     "stream_update_mode": _aggregates(_EVENT_READINGS, "1 hour"),
     "stream_paced": f"""WITH {_READINGS}

@@ -97,9 +97,10 @@ def read_aggregates(spark: SparkSession, *paths: str) -> DataFrame:
     """All Parquet parts of one or several aggregate folders as one table.
 
     A folder written by a stream is read through its commit log, so parts of an
-    unfinished batch are left out.
+    unfinished batch are left out. Folders per batch, as jobs with several outputs write
+    them, are one table.
     """
-    first, *others = [spark.read.parquet(path) for path in paths]
+    first, *others = [spark.read.parquet(path).drop("batch") for path in paths]
     for other in others:
         first = first.unionByName(other)
     return first

@@ -47,6 +47,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(where))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file, with its folders."""
+    where, files = _file_system(spark, path)
+    files.create(where, True).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     where, files = _file_system(spark, path)
     files.delete(where, True)
@@ -71,7 +77,7 @@ def clean(spark: SparkSession) -> None:
         delete(spark, path)
 
 
-def materialise(rows: DataFrame, label: str) -> DataFrame:
+def materialise(rows: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``rows`` once and read them back.
 
     Used where a plan reads the same rows more than once, or where row ids must
@@ -79,5 +85,5 @@ def materialise(rows: DataFrame, label: str) -> DataFrame:
     are read back with column pruning.
     """
     path = fresh_path(rows.sparkSession, label)
-    rows.write.parquet(path)
+    rows.write.options(**options).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from roadpulse.functions.labels import config_text
 from roadpulse.operators.payloads import decode_payload
@@ -21,9 +21,11 @@ from roadpulse.operators.readings import canonical_readings, completeness, timed
 from roadpulse.operators.windows import typed_window_aggregate, window_aggregate
 from roadpulse.schemas import STATION_READING, SWEEP
 from roadpulse.sinks.console import console_sink
+from roadpulse.sinks.fanout import console_output, fan_out_sink, ledger_path, parquet_output
 from roadpulse.sinks.files import parquet_sink, update_log_sink
 from roadpulse.sources.files import stream_station_files
 from roadpulse.sources.kafka import kafka_options, stream_messages
+from roadpulse.storage import exists
 from roadpulse.streaming.params import JobParams
 from roadpulse.streaming.progress import OBSERVATION, MetricsListener
 
@@ -56,10 +58,10 @@ def stream_readings(spark: SparkSession, params: JobParams) -> DataFrame:
     return canonical_readings(records, params.event_time)
 
 
-def windowed_stream(readings: DataFrame, window: str, watermark: str) -> DataFrame:
+def windowed_stream(readings: DataFrame, window: str, watermark: str, counted: bool = False) -> DataFrame:
     """Observed, watermarked window aggregate of a stream of readings."""
     observed = readings.observe(OBSERVATION, *completeness())
-    return window_aggregate(observed.withWatermark("ts", watermark), window)
+    return window_aggregate(observed.withWatermark("ts", watermark), window, counted)
 
 
 def typed_windowed_stream(
@@ -82,27 +84,17 @@ class RunningJob:
     query: StreamingQuery
     listener: MetricsListener
     spark: SparkSession
-    console: StreamingQuery | None = None
 
     def await_end(self, flush_seconds: float = 5) -> None:
-        """Wait for the query, writing metrics rows on the way and at the end.
-
-        A console query that fails ends the job too, rather than unnoticed.
-        """
+        """Wait for the query, writing metrics rows on the way and at the end."""
         try:
             while not self.query.awaitTermination(flush_seconds):
                 self.listener.flush()
-                if self.console and self.console.exception():
-                    raise self.console.exception()
-            if self.console:
-                self.console.processAllAvailable()
         finally:
             self.stop()
 
     def stop(self) -> None:
-        for query in (self.query, self.console):
-            if query is not None:
-                query.stop()
+        self.query.stop()
         # The last reports reach the listener a moment after the query ends; a
         # report that never comes must not pass for a batch without one.
         arrived = self.listener.ended.wait(END_SECONDS)
@@ -112,13 +104,30 @@ class RunningJob:
             raise TimeoutError(f"no end of {self.query.name} was reported; metrics rows may be missing")
 
 
+def _refuse_other_outputs(spark: SparkSession, params: JobParams) -> None:
+    """A job with a console writes folders per batch, one without a commit log: readers see one of them only."""
+    if not exists(spark, f"{params.checkpoint_path}/offsets"):
+        return
+    if params.console != exists(spark, ledger_path(params.checkpoint_path)):
+        raise ValueError(f"{params.checkpoint_path} was started {'without' if params.console else 'with'} a console")
+
+
+def _sink(result: DataFrame, params: JobParams, name: str) -> DataStreamWriter:
+    if params.console:
+        outputs = {"files": parquet_output(params.output_path), "console": console_output()}
+        return fan_out_sink(result, outputs, params.checkpoint_path, params.trigger, name, params.output_mode)
+    sink = parquet_sink if params.sink == "parquet" else update_log_sink
+    return sink(result, params.output_path, params.checkpoint_path, params.trigger, name)
+
+
 def start(
     spark: SparkSession, params: JobParams, readings: DataFrame | None = None
 ) -> RunningJob:
     """Start the job. ``readings`` replaces the configured source."""
     if readings is None:
         readings = stream_readings(spark, params)
-    windows = windowed_stream(readings, params.window, params.watermark)
+    _refuse_other_outputs(spark, params)
+    windows = windowed_stream(readings, params.window, params.watermark, params.count_readings)
     result = windows
     if params.output_files:
         # Few files per batch; the rows here are closed windows, not readings.
@@ -127,16 +136,12 @@ def start(
     config = config_text(params.source, params.window, params.trigger)
     listener = MetricsListener(spark, name, config, params.metrics_path)
     spark.streams.addListener(listener)
-    sink = parquet_sink if params.sink == "parquet" else update_log_sink
     try:
-        query = sink(
-            result, params.output_path, params.checkpoint_path, params.trigger, name
-        ).start()
+        query = _sink(result, params, name).start()
     except Exception:
         spark.streams.removeListener(listener)
         raise
-    console = console_sink(windows, params.trigger).start() if params.console else None
-    return RunningJob(query, listener, spark, console)
+    return RunningJob(query, listener, spark)
 
 
 def run(spark: SparkSession, params: JobParams, readings: DataFrame | None = None) -> None:

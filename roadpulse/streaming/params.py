@@ -15,7 +15,8 @@ class JobParams:
 
     ``sink`` is ``"parquet"`` for closed windows, each once, or ``"updates"`` for
     a log of every change. ``trigger`` is an interval or ``"available-now"``.
-    ``console`` also prints closed windows, by a second query with its own state.
+    ``console`` also prints what a batch writes, from the same query. ``count_readings``
+    adds the number of readings to each window.
     """
 
     output_path: str
@@ -39,6 +40,7 @@ class JobParams:
     output_files: int | None = None
     drop_malformed: bool = False
     console: bool = False
+    count_readings: bool = False
 
     def __post_init__(self) -> None:
         if self.source not in SOURCES:

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from roadpulse.operators import chunks
-from roadpulse.operators.chunks import assign_chunks, write_chunks
+from roadpulse.operators.chunks import assign_chunks, placed_chunks, write_chunks
 from roadpulse.sinks.files import write_csv
 from roadpulse.storage import materialise
 
@@ -63,6 +63,30 @@ def test_one_ordered_file_per_chunk(spark, tmp_path):
         assert files[0].read_text().splitlines() == want
 
 
+def test_only_chunks_on_a_border_are_shuffled(spark, tmp_path):
+    """The plan's one exchange stands above the filter of border chunks, and little goes through it."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame = spark.range(0, 20_000, numPartitions=5).select((F.col("id") * 7919 % 20_000).alias("k"))
+        assigned = assign_chunks(frame, ["k"], 100, from_scan=True, borders=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    placed = placed_chunks(assigned)
+    plan = placed._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange REPARTITION") <= 1
+    assert "Union" in plan and plan.count("rangepartitioning") == 0
+    crossing = assigned.where("crosses_border").select("chunk_id").distinct().count()
+    assert 0 < crossing <= 8
+    tasks = placed.select("chunk_id", F.spark_partition_id().alias("task")).distinct().groupBy("chunk_id").count()
+    assert tasks.where("count > 1").count() == 0
+    write_chunks(assigned, str(tmp_path / "out"))
+    files = list((tmp_path / "out").glob("chunk=*/*.csv"))
+    assert len(files) == 200
+    for file in files:
+        number = int(file.parent.name.removeprefix("chunk="))
+        assert file.read_text().split()[1:] == [str(k) for k in range((number - 1) * 100, number * 100)]
+
+
 def test_no_rows(spark):
     assert assign_chunks(spark.range(0), ["id"], 5).count() == 0
 

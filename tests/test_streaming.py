@@ -10,10 +10,12 @@ from roadpulse.operators.windows import window_aggregate
 from roadpulse.plans.reports import system_tables, traffic_tables, write_tables
 from roadpulse.schemas import STATION_TEXT
 from roadpulse.sinks.console import console_sink, print_whole
+from roadpulse.sinks.fanout import fan_out_sink
 from roadpulse.sinks.files import latest_updates, parquet_sink, update_log_sink
 from roadpulse.sources.files import read_aggregates, read_metrics, stream_station_files
 from roadpulse.sources.kafka import kafka_options
 from roadpulse.streaming import job
+from roadpulse.streaming.open_windows import current_windows, readings_ledger
 from roadpulse.streaming.params import JobParams
 
 START = dt.datetime(2024, 1, 1, 8)
@@ -171,17 +173,80 @@ def printed_rows(query):
     return sum(progress.sink.numOutputRows for progress in query.recentProgress)
 
 
-def test_console(spark, tmp_path):
+def test_console(spark, tmp_path, capfd):
+    """Files and console come from one query, with one scan and one copy of the state."""
     drop(tmp_path / "in", "a.csv", line(0), line(60))
-    running = job.start(spark, params(tmp_path, console=True))
+    given = params(tmp_path, console=True)
+    running = job.start(spark, given)
     running.await_end()
-    assert printed_rows(running.console) == 1
+    assert [len(p.sources) for p in running.query.recentProgress if p.numInputRows] == [1]
+    assert len(running.query.lastProgress.stateOperators) == 1
+    assert capfd.readouterr().out.count("|LA ") == 1
+    assert results(spark, given.output_path) == {("LA", 0): 10}
+    assert [row["rows"] for row in read_metrics(spark, given.metrics_path).collect()] == [2]
+    with pytest.raises(ValueError, match="was started with a console"):
+        job.start(spark, params(tmp_path))
     stream = job.windowed_stream(job.stream_readings(spark, params(tmp_path)), "5 seconds", "20 seconds")
     query = console_sink(stream, "available-now", mode="update", rows=20).start()
     query.awaitTermination()
     assert printed_rows(query) == 2
 
 
+def test_repeated_batch_goes_once_to_each_output(spark, tmp_path):
+    """The second output fails after the first has its batch; then the driver forgets that all is done."""
+    inbox, checkpoint, seen = tmp_path / "in", str(tmp_path / "c"), {"first": [], "second": []}
+    drop(inbox, "a.csv", line(0), line(1), line(60))
+    failing = [True]
+
+    def first(rows, batch):
+        seen["first"] += [(batch, row["total_vehicles"]) for row in rows.collect()]
+
+    def second(rows, batch):
+        got = [(batch, row["total_vehicles"]) for row in rows.collect()]
+        if got and failing.pop(0):
+            raise RuntimeError("second output is away")
+        seen["second"] += got
+
+    def run():
+        stream = job.windowed_stream(job.stream_readings(spark, params(tmp_path)), "5 seconds", "20 seconds")
+        query = fan_out_sink(stream, {"first": first, "second": second}, checkpoint, "available-now").start()
+        query.awaitTermination()
+        return query
+
+    with pytest.raises(Exception, match="second output is away"):
+        run()
+    failing[:] = [False] * 9
+    run()
+    assert [n for _, n in seen["first"]] == [20] and seen["second"] == seen["first"]
+    last = max(int(f.name) for f in (tmp_path / "c" / "commits").glob("[0-9]*"))
+    for name in (f"{last}", f".{last}.crc"):
+        (tmp_path / "c" / "commits" / name).unlink()
+    run()
+    # The state survived the repeated batch: the next window is whole.
+    drop(inbox, "b.csv", line(61), line(200))
+    run()
+    assert [n for _, n in seen["first"]] == [20, 20] and seen["second"] == seen["first"]
+    assert list((tmp_path / "c" / "staged").glob("batch=*")) == []
+
+
+def test_open_windows_and_ledger(spark, tmp_path):
+    """A window without speeds, one without a region, late readings that combine to one row, unread times."""
+    inbox, given = tmp_path / "in", params(tmp_path, count_readings=True)
+    drop(inbox, "a.csv", line(0), line(1), line(300, speed="x"), line(301, district="", flow=""))
+    job.run(spark, given)
+    before = {(r["region"], r["is_open"]): r for r in current_windows(spark, given.output_path, given.checkpoint_path, True).collect()}
+    assert before["LA", False]["readings"] == 2 and before["LA", True]["avg_speed"] is None
+    assert before["LA", True]["total_vehicles"] == 10 and before[None, True]["total_vehicles"] is None
+    drop(inbox, "b.csv", line(600), "no time,S1,7,,,,,,,,,,")
+    job.run(spark, given)
+    drop(inbox, "c.csv", line(0), line(1), line(2), line(601))
+    job.run(spark, given)
+    (row,) = readings_ledger(spark, given.output_path, given.checkpoint_path, given.metrics_path).collect()
+    assert row.asDict() == {"arrived": 9, "emitted": 4, "open_now": 2, "late": 3}
+    dropped = read_metrics(spark, given.metrics_path).agg(F.sum("dropped_late")).first()[0]
+    assert dropped < 3  # Spark's own number is of combined rows
+
+
 def test_kafka_job_uses_broker_time(spark, tmp_path, monkeypatch):
     """The Kafka source itself is replaced; decoding and event time are not."""
     inbox = str(tmp_path / "messages")
