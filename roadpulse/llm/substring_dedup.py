@@ -14,8 +14,10 @@ removed.
 Before the shuffle a task looks for repeats among its own documents and sends only the
 first of each, so a passage in very many documents is sent once per chunk of a task.
 
-Words are not compared: anchor and path are folded into one 64-bit number, and a false
-repeat needs an equal number in one group.
+Words are not compared. A passage is told by 63 bits of its anchor and 48 of its path; one
+with a frequent anchor, which tells little, by 63 bits of its path and 48 of its anchor.
+Both are folded into one 64-bit number, and a false repeat needs an equal number in one
+group, so chances grow with the size of a group, not with that of an anchor.
 """
 
 from __future__ import annotations
@@ -42,7 +44,10 @@ SAMPLE_OF = 16
 HEAVY = 1000
 _LEAVES = "part int, anchors binary, docs binary, counts binary, paths binary, known_docs binary, known binary"
 _FOUND = "doc_id bigint, keys binary"
-_PATH = np.uint64(0xFFFFFFFF)
+_ONE = np.uint64(1)
+# What a path is sent as: its low bytes.
+_PATH_BYTES = 6
+_PATH = np.uint64((1 << 8 * _PATH_BYTES) - 1)
 
 
 def passages(found: Words, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -57,8 +62,23 @@ def passages(found: Words, window: int, anchor: int) -> tuple[np.ndarray, np.nda
         step = min(size, need - size)
         least = np.minimum(least[:-step], least[step:])
         size += step
-    anchors = least[whole] & ~np.uint64(1)
-    return anchors, path[whole] & _PATH, text[whole], whole
+    return least[whole] & ~_ONE, path[whole], text[whole], whole
+
+
+def names(anchors: np.ndarray, paths: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What stands for a passage: its anchor, which is even, or if that is heavy its path, made odd; and 48 bits of the other."""
+    alone = np.isin(anchors, heavy)
+    return np.where(alone, paths | _ONE, anchors), np.where(alone, anchors >> _ONE, paths) & _PATH
+
+
+def _packed(paths: np.ndarray) -> bytes:
+    return paths.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_PATH_BYTES].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // _PATH_BYTES, 8), np.uint8)
+    out[:, :_PATH_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, _PATH_BYTES)
+    return out.view("<u8").reshape(-1)
 
 
 def keys(anchors: np.ndarray, paths: np.ndarray) -> np.ndarray:
@@ -95,20 +115,19 @@ def _leaves(window: int, anchor: int, n_parts: int, heavy):
         sent = np.sort(order[first])
         at, d, a, p = sent, docs[sent], anchors[sent], paths[sent]
         # Neighbours with one anchor make a leaf; those of heavy anchors stand alone.
-        alone = np.isin(a, heavy.value)
+        alone = (a & _ONE).astype(bool)
         begins = np.r_[True, (at[1:] != at[:-1] + 1) | (d[1:] != d[:-1]) | (a[1:] != a[:-1])] | alone
         begin = np.flatnonzero(begins)
         counts = np.diff(np.r_[begin, len(at)]).astype(np.uint32)
-        prefix = np.where(alone[begin], keys(a[begin], p[begin]), a[begin])
-        part = _parts(prefix, n_parts)
+        part = _parts(a[begin], n_parts)
         leaf_order = np.argsort(part, kind="stable")
         by_leaf = np.argsort(np.repeat(part, counts), kind="stable")
         edges = np.searchsorted(part[leaf_order], np.arange(n_parts + 1))
         path_edges = np.r_[0, np.cumsum(counts[leaf_order])]
-        la, ld, lc, lp = a[begin][leaf_order], d[begin][leaf_order], counts[leaf_order], p[by_leaf].astype(np.uint32)
+        la, ld, lc, lp = a[begin][leaf_order], d[begin][leaf_order], counts[leaf_order], p[by_leaf]
         rows = [
             (i, la[lo:hi].tobytes(), ld[lo:hi].tobytes(), lc[lo:hi].tobytes(),
-             lp[path_edges[lo] : path_edges[hi]].tobytes(), b"", b"")
+             _packed(lp[path_edges[lo] : path_edges[hi]]), b"", b"")
             for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True))
             if hi > lo
         ]
@@ -138,6 +157,7 @@ def _leaves(window: int, anchor: int, n_parts: int, heavy):
         for batch in batches:
             found = words(batch.column("text"))
             anchors, paths, text, _ = passages(found, window, anchor)
+            anchors, paths = names(anchors, paths, heavy.value)
             if len(text):
                 doc_ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
                 waiting.append((doc_ids[text], anchors, paths))
@@ -169,7 +189,7 @@ def _repeats(group: pd.DataFrame) -> pd.DataFrame:
     anchors = np.frombuffer(b"".join(group["anchors"]), np.uint64)
     docs = np.frombuffer(b"".join(group["docs"]), np.int64)
     counts = np.frombuffer(b"".join(group["counts"]), np.uint32)
-    paths = np.frombuffer(b"".join(group["paths"]), np.uint32).astype(np.uint64)
+    paths = _unpacked(b"".join(group["paths"]))
     key, doc = keys(np.repeat(anchors, counts), paths), np.repeat(docs, counts)
     # One node per path; its leaves in any order, compared with the smallest.
     order = np.argsort(key)
@@ -185,12 +205,12 @@ def _repeats(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": [d for d, _ in found], "keys": [k for _, k in found]}).astype({"doc_id": "int64"})
 
 
-def _remove(window: int, anchor: int):
+def _remove(window: int, anchor: int, heavy):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = words(batch.column("text"))
             anchors, paths, text, place = passages(found, window, anchor)
-            key = keys(anchors, paths)
+            key = keys(*names(anchors, paths, heavy.value))
             edges = np.searchsorted(text, np.arange(batch.num_rows + 1))
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             listed = batch.column("keys").to_pylist()
@@ -255,5 +275,5 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = AN
     listed = repeats.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
     joined = rows.join(listed.withColumnRenamed("doc_id", "_of"), F.col("doc_id") == F.col("_of"), "left")
     return joined.select("doc_id", "text", "keys").mapInArrow(
-        _remove(window, anchor), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"
+        _remove(window, anchor, heavy), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"
     )

@@ -171,3 +171,19 @@ def test_passages_equal_brute_force(spark, monkeypatch, heavy):
 def test_window_must_hold_an_anchor(spark):
     with pytest.raises(ValueError, match="anchor"):
         substring_dedup.without_repeats(documents(spark, []), window=5, anchor=5)
+
+
+@pytest.mark.parametrize("heavy", [True, False])
+def test_many_passages_of_one_anchor_are_told_apart(spark, heavy, monkeypatch):
+    """300,000 different passages around the same six words, some of them repeated on purpose."""
+    monkeypatch.setattr(substring_dedup, "HEAVY", 1000 if heavy else 10**9)
+    found = words(pa.array([" ".join(f"a{k}" for k in range(4000))]))
+    runs = grams(found.hashes, 6)
+    at = int(np.argmin(runs))
+    common = " ".join(f"a{k}" for k in range(at, at + 6))
+    texts = [" . ".join(f"x{i}p{j} y{i}q{j} z{i} {common} u{j} v{i}r{j} w{j}" for j in range(100)) for i in range(3000)]
+    again = f"x7p5 y7q5 z7 {common} u5 v7r5 w5 ."
+    rows = [(i, t) for i, t in enumerate(texts)] + [(9000, f"begin here {again} and end there")]
+    got = {r["doc_id"]: r for r in substring_dedup.without_repeats(documents(spark, rows)).collect()}
+    assert {i: r["n_removed"] for i, r in got.items() if r["n_removed"]} == {9000: 13}
+    assert got[9000]["kept_text"] == "begin here and end there"
