@@ -167,11 +167,26 @@ widths AS (
               ELSE 12 + 5 * (event_id % 3) + CASE WHEN event_id % 37 = 0 THEN 1 ELSE 0 END END AS n_columns
   FROM station
 )"""
-_BASE_NAMES = [
-    "Timestamp|Station|District|Freeway #|Direction of Travel|Lane Type",
-    "|Station Length|Samples|% Observed|Total Flow",
-    "|Avg Occupancy|Avg Speed",
+
+
+_JSON_CELLS = [
+    ("Timestamp", "time_text"),
+    ("Station", "station"),
+    ("District", "district"),
+    ("Freeway #", "freeway"),
+    ("Direction of Travel", "direction"),
+    ("Lane Type", "lane_type"),
+    ("Station Length", "station_length"),
+    ("Samples", "samples"),
+    ("% Observed", "pct_observed"),
+    ("Total Flow", "total_flow"),
+    ("Avg Occupancy", "avg_occupancy"),
+    ("Avg Speed", "avg_speed"),
+    ("Region", "region"),
 ]
+# The twelve base columns as one text, and without the two that short lines lack.
+_BASE_NAMES = "|".join(name for name, _ in _JSON_CELLS[:12])
+_SHORT_NAMES = "|".join(name for name, _ in _JSON_CELLS[:10])
 
 
 def _lane_names(lane: int) -> str:
@@ -196,21 +211,6 @@ SELECT CASE WHEN time_text = 'bad' THEN NULL ELSE true_time END AS time_text, st
 FROM station WHERE {_PREPARED_RULE}"""
 
 
-_JSON_CELLS = [
-    ("Timestamp", "time_text"),
-    ("Station", "station"),
-    ("District", "district"),
-    ("Freeway #", "freeway"),
-    ("Direction of Travel", "direction"),
-    ("Lane Type", "lane_type"),
-    ("Station Length", "station_length"),
-    ("Samples", "samples"),
-    ("% Observed", "pct_observed"),
-    ("Total Flow", "total_flow"),
-    ("Avg Occupancy", "avg_occupancy"),
-    ("Avg Speed", "avg_speed"),
-    ("Region", "region"),
-]
 _JSON_TEXT = " || ',' || ".join(
     f"""'"{name}":"' || coalesce({column}, '') || '"'""" for name, column in _JSON_CELLS
 )
@@ -257,8 +257,7 @@ UNION ALL SELECT 'unnamed' AS layout, {_TEXT_LINE} FROM station""",
     "lane_layout": f"""WITH {_LINES}
 SELECT CAST(n_columns AS INTEGER) AS n_columns, count(*) AS n_lines,
   CAST(CASE WHEN n_columns < 12 THEN 0 ELSE (n_columns - 12) // 5 END AS INTEGER) AS n_lanes,
-  '{_BASE_NAMES[0]}{_BASE_NAMES[1]}'
-  || CASE WHEN n_columns >= 12 THEN '{_BASE_NAMES[2]}' ELSE '' END
+  CASE WHEN n_columns >= 12 THEN '{_BASE_NAMES}' ELSE '{_SHORT_NAMES}' END
   || CASE WHEN n_columns >= 17 THEN '{_lane_names(1)}' ELSE '' END
   || CASE WHEN n_columns >= 22 THEN '{_lane_names(2)}' ELSE '' END
   || CASE WHEN n_columns IN (13, 18, 23) THEN '|Extra_' || (n_columns - 1) ELSE '' END AS column_names
