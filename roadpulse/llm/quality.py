@@ -14,9 +14,9 @@ with the weights, through the logistic function.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.frames import for_python, only
 from roadpulse.llm.words import grams, joined_bytes, mix, words
-from roadpulse.storage import materialise
+from roadpulse.storage import fresh_path, materialise
 
-SLOT_BITS = 18
+SLOT_BITS = 17
 SLOTS = 1 << SLOT_BITS
 BIAS, AGAIN = 0, 1  # the slot every text has, that of a word twice in a row
 # The model learns from at most about so many labelled documents, whole.
@@ -136,16 +136,26 @@ def _sample(documents: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return texts.join(F.broadcast(some), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
-def _one_pass(shared: Broadcast, turn: int):
+def _one_pass(shared: Broadcast, shard: int, turn: int):
     """One pass over a shard from the shared state, in an order of its own for each round."""
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for batch in batches:
+            ids, labels = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "label"))
+            lists = [batch.column(c) for c in ("slots", "values")]
+            edges = lists[0].offsets.to_numpy()
+            slots, values = (x.values.to_numpy() for x in lists)
+            places = mix(ids.view(np.uint64) + np.uint64(turn)).tolist()
+            rows += [
+                (place, slots[lo:hi], values[lo:hi], label)
+                for place, lo, hi, label in zip(places, edges, edges[1:], labels.tolist(), strict=False)
+            ]
         z, n = shared.value
         learner = Learner(z.copy(), n.copy())
-        order = np.argsort(mix(part["doc_id"].to_numpy().view(np.uint64) + np.uint64(turn)), kind="stable")
-        for slots, values, label in part[["slots", "values", "label"]].iloc[order].itertuples(index=False):
-            learner.learn(slots, values, label)
-        return pd.DataFrame({"shard": part["shard"].iloc[:1].array, "z": [learner.z.tobytes()], "n": [learner.n.tobytes()]})
+        for _, slots, values, label in sorted(rows, key=lambda row: row[0]):
+            learner.learn(slots, values.astype(np.float64), label)
+        yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "z": [learner.z.astype("<f4").tobytes()], "n": [learner.n.astype("<f4").tobytes()]})
 
     return run
 
@@ -154,33 +164,37 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, round
     """Weights by slot, learned from ``labels`` (``doc_id``, ``quality`` 0 or 1) of ``documents``.
 
     Rows without an id or with another label are not looked at; without any, the
-    weights are 0 and every score is one half. What the driver gets is two numbers
-    per slot and shard, whatever the input.
+    weights are 0 and every score is one half. What the driver gets in a round is two
+    numbers of four bytes per slot and shard, whatever the input.
     """
     spark = documents.sparkSession
     for_python(spark)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _pieces(whole)):
             slots, values, bounds = vectors(batch.column("text"))
             offsets = pa.array(bounds.astype(np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (slots.astype(np.int32), values)]
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (slots.astype(np.int32), values.astype(np.float32))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), *lists], names=["doc_id", "label", "slots", "values"]
             )
 
-    schema = "doc_id bigint, label int, slots array<int>, values array<double>"
+    schema = "doc_id bigint, label int, slots array<int>, values array<float>"
     sample = _sample(documents, labels, rows).mapInArrow(featurise, schema)
+    path = fresh_path(spark, "quality-sample")
     shard = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SHARDS)).cast("int")
-    dealt = materialise(sample.withColumn("shard", shard), "quality-sample")
+    sample.withColumn("shard", shard).write.partitionBy("shard").parquet(path)
+    # A shard is one task, which reads it where it was written: no round shuffles the sample.
+    stored = spark.read.schema(f"{schema}, shard int").parquet(path)
+    shards = [stored.where(F.col("shard") == k).drop("shard").coalesce(1) for k in range(SHARDS)]
     state = Learner(np.zeros(SLOTS), np.zeros(SLOTS))
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((state.z, state.n))
-        found = dealt.groupBy("shard").applyInPandas(_one_pass(shared, turn), "shard int, z binary, n binary").collect()
+        passes = [part.mapInArrow(_one_pass(shared, k, turn), "shard int, z binary, n binary") for k, part in enumerate(shards)]
+        found = sorted(reduce(DataFrame.unionAll, passes).collect(), key=lambda row: row["shard"])
         if not found:
             break
-        found.sort(key=lambda row: row["shard"])
-        state = Learner(*(np.mean([np.frombuffer(row[name]) for row in found], axis=0) for name in ("z", "n")))
+        state = Learner(*(np.mean([np.frombuffer(row[name], "<f4") for row in found], axis=0, dtype=np.float64) for name in ("z", "n")))
         shared.destroy()
     return state.weights()
 
