@@ -19,6 +19,7 @@ counts ten less than the lowest score, as the format says.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -28,12 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.frames import only, for_python
+from roadpulse.llm.frames import for_python, only
+from roadpulse.llm.worker_memory import Memo, release
 
 SPACE = "▁"
-# What a Python worker remembers: segmentations of short words, about 100 MB, and
-# which pairs of pieces may stand together.
-REMEMBERED, REMEMBERED_CHARS, REMEMBERED_PAIRS = 400_000, 32, 1_000_000
+# What a Python worker remembers, in bytes: segmentations of short words, and which pairs
+# of pieces may stand together.
+REMEMBERED_BYTES, REMEMBERED_CHARS, REMEMBERED_PAIRS_BYTES = 96 << 20, 32, 48 << 20
+# A pair takes its key, an entry of the dictionary and its two strings, which pieces share.
+_PAIR_BYTES = 180
 
 
 class Codec:
@@ -68,7 +72,7 @@ class Codec:
         self.unknown_score = min(self.scores.values()) - 10
         self.automaton.make_automaton()
         self.segment = self._by_merges if kind == "bpe" else self._by_score
-        self.known: dict[str, bytes] = {}
+        self.known = Memo(REMEMBERED_BYTES)
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -89,7 +93,7 @@ class Codec:
         found = self.pairs.get(key)
         if found is None:
             found = self.merged(left + right) == ([left, right] if left else [right])
-            if len(self.pairs) < REMEMBERED_PAIRS:
+            if len(self.pairs) * _PAIR_BYTES < REMEMBERED_PAIRS_BYTES:
                 self.pairs[key] = found
         return found
 
@@ -148,27 +152,36 @@ class Codec:
         found = self.known.get(chunk)
         if found is None:
             found = np.array(self.segment(chunk), np.int32).tobytes()
-            if len(chunk) <= REMEMBERED_CHARS and len(self.known) < REMEMBERED:
-                self.known[chunk] = found
+            if len(chunk) <= REMEMBERED_CHARS:
+                self.known.learn(chunk, found)
         return found
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text as 32-bit numbers.
+        """Ids of a text as 32-bit numbers."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as 32-bit numbers.
 
         No piece of a model that splits by white space reaches over the start of a
         space, so the best segmentation is that of the words, each with the spaces
-        before it; equal words are segmented once.
+        before it; equal words of the texts are segmented once.
         """
-        if not text:
-            return b""
-        escaped = text.replace(" ", SPACE)
+        escaped = [text.replace(" ", SPACE) for text in texts]
         if not self.whole_words:
-            return np.array(self.segment(SPACE + escaped), np.int32).tobytes()
-        words = escaped.split(SPACE)
+            return [np.array(self.segment(SPACE + t), np.int32).tobytes() if t else b"" for t in escaped]
+        parts = [t.split(SPACE) if t else [] for t in escaped]
+        here = {w: self._chunk(SPACE + w) for w in set().union(*parts) if w}
+        return [
+            self._spaced(words, here) if "" in words else b"".join(map(here.__getitem__, words)) for words in parts
+        ]
+
+    def _spaced(self, words: list[str], here: dict[str, bytes]) -> bytes:
+        """Ids of words with several spaces before some; the last may be empty after spaces."""
         out, spaces = [], SPACE
         for word in words[:-1]:
             if word:
-                out.append(self._chunk(spaces + word))
+                out.append(here[word] if spaces == SPACE else self._chunk(spaces + word))
                 spaces = SPACE
             else:
                 spaces += SPACE
@@ -199,6 +212,23 @@ def _shared_model(spark: SparkSession, model_file: str | None, kind: str) -> Cal
     return lambda: _codec(model.value, kind)
 
 
+def _texts(documents: DataFrame) -> DataFrame:
+    text = F.coalesce(documents["text"], F.lit(""))
+    return only(documents, doc_id="doc_id", text=text, n_chars=F.length(text).cast("bigint"), text_sha256=F.sha2(text, 256))
+
+
+def _encoded_batches(
+    codec: Codec, batches: Iterator[pa.RecordBatch]
+) -> Iterator[tuple[pa.RecordBatch, list[bytes], pa.ListArray]]:
+    """Each batch with the ids of its texts, as bytes and as lists."""
+    release()
+    for batch in batches:
+        parts = codec.encode_all(batch.column("text").to_pylist())
+        bounds = np.zeros(len(parts) + 1, np.int32)
+        np.cumsum([len(p) // 4 for p in parts], out=bounds[1:])
+        yield batch, parts, pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+
+
 def encoded(documents: DataFrame, model_file: str | None = None, kind: str = "bpe") -> DataFrame:
     """``doc_id, n_chars, ids, text_sha256``, one row per row of ``documents``.
 
@@ -212,17 +242,11 @@ def encoded(documents: DataFrame, model_file: str | None = None, kind: str = "bp
     codec = _shared_model(spark, model_file, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = codec().encode
-        for batch in batches:
-            parts = [encode(t or "") for t in batch.column("text").to_pylist()]
-            bounds = np.zeros(len(parts) + 1, np.int32)
-            np.cumsum([len(p) // 4 for p in parts], out=bounds[1:])
-            ids = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+        for batch, _, ids in _encoded_batches(codec(), batches):
             columns = [batch.column("doc_id"), batch.column("n_chars"), ids, batch.column("text_sha256")]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_chars", "ids", "text_sha256"])
 
-    text = F.coalesce(documents["text"], F.lit(""))
-    rows = only(documents, doc_id="doc_id", text=text, n_chars=F.length(text).cast("bigint"), text_sha256=F.sha2(text, 256))
+    rows = _texts(documents)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, n_chars bigint, ids array<int>, text_sha256 string")
 
@@ -250,13 +274,29 @@ def round_trip(documents: DataFrame, model_file: str | None = None, kind: str =
     ``exact`` says that decoding the ids gave the text back. It is false where the
     text holds the escape character U+2581, which decodes to a space.
     """
-    back = decoded(encoded(documents, model_file, kind), model_file, kind)
-    sha = F.sha2("decoded", 256)
-    return back.select(
-        "doc_id",
-        "n_chars",
-        F.size("ids").cast("bigint").alias("n_pieces"),
-        "ids",
-        sha.alias("decoded_sha256"),
-        (sha == F.col("text_sha256")).alias("exact"),
-    )
+    spark = documents.sparkSession
+    for_python(spark)
+    codec = _shared_model(spark, model_file, kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Both directions in one worker, which holds one model.
+        decode = codec().decode
+        for batch, parts, ids in _encoded_batches(codec(), batches):
+            back = [hashlib.sha256(decode(np.frombuffer(p, np.int32).tolist()).encode()).hexdigest() for p in parts]
+            exact = [a == b for a, b in zip(back, batch.column("text_sha256").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("n_chars"),
+                    pa.array([len(p) // 4 for p in parts], pa.int64()),
+                    ids,
+                    pa.array(back, pa.string()),
+                    pa.array(exact, pa.bool_()),
+                ],
+                names=["doc_id", "n_chars", "n_pieces", "ids", "decoded_sha256", "exact"],
+            )
+
+    rows = _texts(documents)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_chars bigint, n_pieces bigint, ids array<int>, decoded_sha256 string, exact boolean"
+    return rows.mapInArrow(run, schema)
