@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm import rans
 from roadpulse.llm.frames import for_python, only, width
+from roadpulse.llm.worker_memory import Memo
 
 END_ID = 2
 SEGMENT_IDS = 1 << 19
-# Words whose ids a Python worker remembers, about 300 MB.
-REMEMBERED, REMEMBERED_CHARS = 1_500_000, 40
+# Bytes of words and their ids that a Python worker remembers, and the longest such word.
+REMEMBERED_BYTES, REMEMBERED_CHARS = 320 << 20, 40
+# Words encoded in one run; the library works faster on short texts.
+RUN_WORDS = 200
 SEGMENT = """file int, segment int, start bigint, n_ids bigint, doc_ids array<bigint>, lengths array<int>,
     table binary, states binary, offsets array<bigint>, words binary, checksums array<bigint>"""
 _SCHEMA = pa.schema([
@@ -44,14 +47,17 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str) -> None:
+        import os
         import re
 
+        # Spark runs a task per core; threads of the library would only compete with them.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.white_run = re.compile(r"\s\s")
         self.single_space = re.compile(r"(?<=\S) (?=\S)")
-        self.known: dict[str, bytes] = {}
+        self.known = Memo(REMEMBERED_BYTES)
         # Tokens that begin with a space, which byte-level vocabularies write as U+0120.
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
@@ -63,12 +69,14 @@ class Encoder:
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of words that follow a space.
 
-        Words without white space at their ends or spaces within are encoded in one go,
-        each after a space: just the tokens that start a word begin with one.
+        Words without white space at their ends or spaces within are encoded in runs,
+        each word after a space: just the tokens that start a word begin with one.
         """
         plain = [w for w in words if w and not (w[0].isspace() or w[-1].isspace() or " " in w)]
-        (joined,) = self.tokenizer.encode_batch_fast(["".join([" " + w for w in plain])], add_special_tokens=False)
-        ids = np.array(joined.ids, "<u4")
+        spaced = [" " + w for w in plain]
+        runs = ["".join(spaced[i : i + RUN_WORDS]) for i in range(0, len(spaced), RUN_WORDS)]
+        joined = [x for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False) for x in e.ids]
+        ids = np.array(joined, "<u4")
         starts = np.flatnonzero(self.spaced[ids]) if len(ids) else []
         if len(starts) != len(plain):
             plain, starts = [], []
@@ -81,17 +89,22 @@ class Encoder:
         return [found[w] for w in words]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as 32-bit numbers. All words but a text's first follow a space."""
-        known = self.known
+        """Ids of each text as 32-bit numbers. All words but a text's first follow a space.
+
+        Each distinct word of the texts is looked up once in what the worker remembers;
+        its occurrences find it in the small table of these texts.
+        """
         parts = [self._split(t) for t in texts]
-        missing = list({w for words in parts for w in words[1:] if w not in known})
-        new = dict(zip(missing, self._words(missing), strict=True))
-        firsts = self.tokenizer.encode_batch_fast([words[0] for words in parts], add_special_tokens=False)
-        room = REMEMBERED - len(known)
-        if room > 0:
-            known.update([(w, new[w]) for w in missing if len(w) <= REMEMBERED_CHARS][:room])
+        firsts = self.tokenizer.encode_batch_fast([words.pop(0) for words in parts], add_special_tokens=False)
+        distinct = set().union(*parts)
+        here = dict(zip(distinct, map(self.known.get, distinct), strict=True))
+        missing = [w for w, ids in here.items() if ids is None]
+        for w, ids in zip(missing, self._words(missing), strict=True):
+            here[w] = ids
+            if len(w) <= REMEMBERED_CHARS:
+                self.known.learn(w, ids)
         return [
-            np.array(first.ids, "<u4").tobytes() + b"".join([known[w] if w in known else new[w] for w in words[1:]])
+            np.array(first.ids, "<u4").tobytes() + b"".join(map(here.__getitem__, words))
             for first, words in zip(firsts, parts, strict=True)
         ]
 

@@ -76,7 +76,7 @@ def test_no_documents(spark):
 
 def test_forgetful_encoder(monkeypatch):
     """What is not remembered is encoded again."""
-    monkeypatch.setattr(token_files, "REMEMBERED", 2)
+    monkeypatch.setattr(token_files, "REMEMBERED_BYTES", 600)
     with open(token_files.default_vocabulary(), encoding="utf-8") as file:
         encoder = token_files.Encoder(file.read())
     library = Tokenizer.from_file(token_files.default_vocabulary())
