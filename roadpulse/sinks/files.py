@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from roadpulse.storage import delete, exists, list_names
+from roadpulse.storage import delete, exists, list_names, rename
 
 
 def write_csv(
@@ -40,6 +40,52 @@ def write_metrics(rows: DataFrame, path: str) -> None:
     )
 
 
+# Number of the folder that holds folded batches; no batch has it.
+_FOLDED = -1
+
+
+def _query_folders(spark: SparkSession, path: str) -> list[str]:
+    names = list_names(spark, path) if exists(spark, path) else []
+    return [f"{path.rstrip('/')}/{name}" for name in names if name.startswith("query_id=")]
+
+
+def has_folded_metrics(spark: SparkSession, path: str) -> bool:
+    return any(exists(spark, f"{folder}/batch={_FOLDED}") for folder in _query_folders(spark, path))
+
+
+def compact_metrics(spark: SparkSession, path: str) -> None:
+    """Fold the folders of the batches so far into one folder per query, for fast reading.
+
+    Run it while the job does not write metrics. The new rows are complete beside the folder
+    before they take the place of the old, and a batch's own folder goes last, so a fold that
+    is cut short at any point loses no row, and the next one finishes it.
+    """
+    for folder in _query_folders(spark, path):
+        folded, staged = f"{folder}/batch={_FOLDED}", f"{folder}/_folding"
+        if exists(spark, f"{staged}/_SUCCESS") and not exists(spark, folded):
+            rename(spark, staged, folded)
+        own = [n for n in list_names(spark, folder) if n.startswith("batch=") and n != f"batch={_FOLDED}"]
+        if not own:
+            continue
+        logs = [
+            spark.read.schema(spark.read.option("header", True).csv(f"{folder}/{names[0]}").schema)
+            .option("header", True)
+            .option("enforceSchema", False)
+            .csv([f"{folder}/{name}" for name in names])
+            .withColumn("batch", F.lit(rank))
+            for rank, names in ((1, own), (0, [f"batch={_FOLDED}"] if exists(spark, folded) else []))
+            if names
+        ]
+        rows = logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1], allowMissingColumns=True)
+        kept = latest_updates(rows, ["batch_id"])
+        ordered = kept.select([name for name in rows.columns if name != "batch"]).coalesce(1)
+        write_csv(ordered, staged, mode="overwrite")
+        delete(spark, folded)
+        rename(spark, staged, folded)
+        for name in own:
+            delete(spark, f"{folder}/{name}")
+
+
 def default_csv_path(source_path: str, suffix: str = "") -> str:
     """Beside the source, its name without extension plus ``suffix``."""
     folder, slash, name = source_path.rstrip("/").rpartition("/")

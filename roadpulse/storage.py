@@ -47,6 +47,24 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(where))
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file that is not blank, compressed files included; reads no further."""
+    where, files = _file_system(spark, path)
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    codec, stream = codecs.getCodec(where), files.open(where)
+    try:
+        content = codec.createInputStream(stream) if codec else stream
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(content, "UTF-8"))
+        while (line := reader.readLine()) is not None:
+            if line.strip():
+                return line
+        return None
+    finally:
+        stream.close()
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Make an empty file, with its folders."""
     where, files = _file_system(spark, path)
@@ -58,6 +76,12 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    where, files = _file_system(spark, path)
+    if not files.rename(where, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not rename {path} to {target}")
+
+
 # Paths handed out, by application, until they are cleaned.
 _handed_out: dict[str, list[str]] = {}
 

@@ -7,6 +7,7 @@ queries over the same source.
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from collections.abc import Callable
@@ -28,7 +29,9 @@ from roadpulse.sources.kafka import kafka_options, stream_messages
 from roadpulse.storage import exists
 from roadpulse.streaming.params import JobParams
 from roadpulse.streaming.progress import OBSERVATION, MetricsListener
+from roadpulse.streaming.recovery import recovered_metrics
 
+log = logging.getLogger(__name__)
 
 # How long to wait for the report that a stopped query has ended.
 END_SECONDS = 600
@@ -120,11 +123,26 @@ def _sink(result: DataFrame, params: JobParams, name: str) -> DataStreamWriter:
     return sink(result, params.output_path, params.checkpoint_path, params.trigger, name)
 
 
+def _lost_rows(spark: SparkSession, params: JobParams, config: str, recount: bool) -> list[tuple]:
+    """Metrics rows of committed batches that were never written; at most those Spark keeps a checkpoint of."""
+    try:
+        lost = recovered_metrics(spark, params, config, recount)
+        return [tuple(row) for row in lost.collect()] if lost is not None else []
+    except Exception:
+        # The stream does not depend on its metrics; the next start tries again.
+        log.exception("could not make up for metrics rows of %s", params.checkpoint_path)
+        return []
+
+
 def start(
     spark: SparkSession, params: JobParams, readings: DataFrame | None = None
 ) -> RunningJob:
-    """Start the job. ``readings`` replaces the configured source."""
-    if readings is None:
+    """Start the job. ``readings`` replaces the configured source.
+
+    Metrics rows that a driver took with it when it died are written with the first ones.
+    """
+    given = readings is not None
+    if not given:
         readings = stream_readings(spark, params)
     _refuse_other_outputs(spark, params)
     windows = windowed_stream(readings, params.window, params.watermark, params.count_readings)
@@ -135,6 +153,8 @@ def start(
     name = f"roadpulse-{uuid.uuid4().hex}"
     config = config_text(params.source, params.window, params.trigger)
     listener = MetricsListener(spark, name, config, params.metrics_path)
+    if params.metrics_path:
+        listener.take(_lost_rows(spark, params, config, recount=not given))
     spark.streams.addListener(listener)
     try:
         query = _sink(result, params, name).start()

@@ -72,7 +72,7 @@ class MetricsListener(StreamingQueryListener):
 
     A row is keyed by query and batch. The query keeps its id over restarts, so a
     flush that is repeated, or a batch that runs again, replaces its row. What was not
-    flushed when the driver died is lost, as Spark reports a batch once.
+    flushed when the driver died is made again from the checkpoint by the next start.
     """
 
     def __init__(self, spark: SparkSession, query_name: str, config: str, path: str | None):
@@ -109,6 +109,11 @@ class MetricsListener(StreamingQueryListener):
         if event.runId == self._run_id:
             self.ended.set()
 
+    def take(self, rows: list[tuple]) -> None:
+        """Rows of earlier batches to write with the next flush."""
+        with self._lock:
+            self._rows.extend(rows)
+
     def flush(self, last: bool = False) -> None:
         with self._lock:
             rows, self._rows = self._rows, []

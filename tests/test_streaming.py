@@ -11,12 +11,13 @@ from roadpulse.plans.reports import system_tables, traffic_tables, write_tables
 from roadpulse.schemas import STATION_TEXT
 from roadpulse.sinks.console import console_sink, print_whole
 from roadpulse.sinks.fanout import fan_out_sink
-from roadpulse.sinks.files import latest_updates, parquet_sink, update_log_sink
+from roadpulse.sinks.files import compact_metrics, latest_updates, parquet_sink, update_log_sink, write_metrics
 from roadpulse.sources.files import read_aggregates, read_metrics, stream_station_files
 from roadpulse.sources.kafka import kafka_options
 from roadpulse.streaming import job
 from roadpulse.streaming.open_windows import current_windows, readings_ledger
 from roadpulse.streaming.params import JobParams
+from roadpulse.streaming.progress import METRICS_TABLE, MetricsListener
 
 START = dt.datetime(2024, 1, 1, 8)
 HEADER = ",".join(STATION_TEXT.names)
@@ -126,6 +127,90 @@ def test_trigger_limited_by_bytes(spark, tmp_path):
     assert sorted(row["rows"] for row in rows) == [2, 2, 2]
 
 
+def without_reports(monkeypatch):
+    """As if the driver died before it wrote a metrics row."""
+    monkeypatch.setattr(MetricsListener, "flush", lambda self, last=False: None)
+
+
+def facts(spark, path):
+    rows = read_metrics(spark, path).orderBy("batch_id").collect()
+    return [(row["batch_id"], row["rows"], row["has_speed"], row["has_count"]) for row in rows]
+
+
+@pytest.mark.parametrize("archived", [False, True])
+def test_lost_metrics_are_made_again(spark, tmp_path, monkeypatch, archived):
+    inbox = tmp_path / "in box"
+    moves = {"clean_source": "archive", "archive_path": str(tmp_path / "old")} if archived else {}
+    given = params(tmp_path, input_path=str(inbox), max_files_per_trigger=1, **moves)
+    for number, lines in enumerate([[line(0), line(1, speed="x")], ["no time,S1,7,,,,,,,,,,"], [line(100, flow="")]]):
+        drop(inbox, f"{number}.csv", *lines)
+        time.sleep(0.05)
+    with monkeypatch.context() as dead:
+        without_reports(dead)
+        job.run(spark, given)
+    assert not (tmp_path / "metrics").exists()
+    drop(inbox, "later.csv", line(200), line(201))
+    job.run(spark, given)
+    got = facts(spark, given.metrics_path)
+    assert got[:2] == [(0, 2, 1, 2), (2, 1, 1, 0)] and [row[1] for row in got[2:]] == [2]
+    made, *_ = read_metrics(spark, given.metrics_path).orderBy("batch_id").collect()
+    assert made["duration_sec"] > 0 and made["dropped_late"] is None and made["timestamp"].year > 2024
+    assert made["throughput_rows_per_sec"] == pytest.approx(2 / made["duration_sec"], abs=1e-3)
+    # Once made, a row is not made again.
+    job.run(spark, given)
+    assert facts(spark, given.metrics_path) == got
+
+
+def test_lost_batches_whose_files_are_gone_are_named(spark, tmp_path, monkeypatch):
+    given = params(tmp_path)
+    drop(tmp_path / "in", "a.csv", line(0), line(60))
+    with monkeypatch.context() as dead:
+        without_reports(dead)
+        job.run(spark, given)
+    (tmp_path / "in" / "a.csv").unlink()
+    job.run(spark, given)
+    assert facts(spark, given.metrics_path)[0] == (0, None, None, None)
+
+
+def test_folded_metrics_read_as_before(spark, tmp_path):
+    given, folder = params(tmp_path, max_files_per_trigger=1), tmp_path / "metrics"
+
+    def table():
+        return sorted(map(str, read_metrics(spark, str(folder)).select(*METRICS_TABLE.names).collect()))
+
+    for names in ("abc", "d", "e"):
+        for name in names:
+            drop(tmp_path / "in", f"{name}.csv", line(0), line(60))
+            time.sleep(0.05)
+        job.run(spark, given)
+        before = table()
+        compact_metrics(spark, str(folder))
+        assert table() == before
+        assert [path.name for path in folder.glob("query_id=*/batch=*")] == ["batch=-1"]
+    (query,) = [path.name.removeprefix("query_id=") for path in folder.iterdir() if path.is_dir()]
+    read = {row[0]: row[1] for row in facts(spark, str(folder))}
+    assert list(read.values()) == [2] * 5
+    # A batch that runs again replaces its row although it has been folded.
+    again = max(read)
+    row = ("2024-01-01 00:00:00", again, 7, 0.5, 14.0, "c", "run", 7, 7, 0, query)
+    write_metrics(spark.createDataFrame([row], METRICS_TABLE), str(folder))
+    assert {r[0]: r[1] for r in facts(spark, str(folder))} == {**read, again: 7}
+    compact_metrics(spark, str(folder))
+    assert {r[0]: r[1] for r in facts(spark, str(folder))} == {**read, again: 7}
+
+
+def test_a_fold_cut_short_is_finished(spark, tmp_path):
+    folder = tmp_path / "metrics"
+    rows = [("2024-01-01 00:00:00", n, n + 1, 0.5, 2.0, "c", "run", 1, 1, 0, "q") for n in range(3)]
+    write_metrics(spark.createDataFrame(rows, METRICS_TABLE), str(folder))
+    compact_metrics(spark, str(folder))
+    # Its rows stood ready beside the folder, and the folder was gone.
+    (folder / "query_id=q" / "batch=-1").rename(folder / "query_id=q" / "_folding")
+    write_metrics(spark.createDataFrame([(*rows[0][:1], 3, *rows[0][2:])], METRICS_TABLE), str(folder))
+    compact_metrics(spark, str(folder))
+    assert [row[:2] for row in facts(spark, str(folder))] == [(0, 1), (1, 2), (2, 3), (3, 1)]
+
+
 def test_unwritable_metrics_are_reported_when_the_job_is_done(spark, tmp_path):
     (tmp_path / "metrics").write_text("a file, not a folder")
     given = params(tmp_path, metrics_path=str(tmp_path / "metrics" / "x"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 from pathlib import Path
 
@@ -28,11 +29,55 @@ KEYS = ["window_start", "region"]
 # --- names of CSV columns ---------------------------------------------------------
 
 
-def test_reordered_header_is_an_error(spark, tmp_path):
+def as_rows(table, *names):
+    return sorted(tuple(row[name] for name in names) for row in table.collect())
+
+
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "a b{1}"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Timestamp,Station\n2024-01-01,S1\n")
+    (folder / "b%20.csv").write_text("Station,Timestamp\nS2,2024-01-02\n")
+    (folder / "c.csv").write_text("\n\nStation,Region,Timestamp\nS3,LA,2024-01-03\n")
+    (folder / "d.csv").write_text("Station,Timestamp\nS4,2024-01-04\n")
+    (folder / "e.csv").write_text("\n")
+    with gzip.open(folder / "f.csv.gz", "wt") as packed:
+        packed.write("Region,Station\nSD,S6\n")
+    escaped = str(folder).replace("{", "\\{").replace("}", "\\}")
+    table = sources.read_station_csv(spark, escaped)
+    assert sorted(map(str, table.select("Station", "Timestamp", "Region").collect())) == sorted(
+        f"Row(Station='S{n}', Timestamp={t!r}, Region={r!r})"
+        for n, t, r in [
+            (1, "2024-01-01", None),
+            (2, "2024-01-02", None),
+            (3, "2024-01-03", "LA"),
+            (4, "2024-01-04", None),
+            (6, None, "SD"),
+        ]
+    )
+
+
+def test_a_folder_of_layouts_prunes_columns(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Timestamp,Station\n2024-01-01,S1\n")
-    (tmp_path / "b.csv").write_text("Station,Timestamp\nS2,2024-01-02\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        sources.read_station_csv(spark, str(tmp_path)).collect()
+    (tmp_path / "b.csv").write_text("Station,Region,Timestamp\nS2,LA,2024-01-02\n")
+    plan = sources.read_station_csv(spark, str(tmp_path)).select("Station")._jdf.queryExecution().toString()
+    assert plan.count("ReadSchema: struct<Station:string>") == 2 and "Exchange" not in plan
+
+
+def test_folders_named_by_a_key_stay_columns(spark, tmp_path):
+    for number, text in enumerate(["x,y\n1,2\n", "y,x\n3,4\n"]):
+        (tmp_path / f"part={number}").mkdir()
+        (tmp_path / f"part={number}" / "a.csv").write_text(text)
+    assert as_rows(sources.read_named_csv(spark, str(tmp_path)), "x", "y", "part") == [("1", "2", 0), ("4", "3", 1)]
+
+
+def test_metrics_of_several_layouts(spark, tmp_path):
+    (tmp_path / "new.csv").write_text(
+        "timestamp,batch_id,rows,duration_sec,throughput_rows_per_sec,config\n2024-01-01 00:00:00,1,10,0.5,20,c\n"
+    )
+    (tmp_path / "old.csv").write_text("timestamp,batch_id,rows,batch_duration,processed_rps\n2024-01-01 00:00:00,2,30,1500,20\n")
+    got = stats.normalise_metrics(sources.read_metrics(spark, str(tmp_path)))
+    assert as_rows(got, "batch_id", "duration_sec", "throughput_rps", "config") == [(1, 0.5, 20.0, "c"), (2, 1.5, 20.0, "default")]
 
 
 def test_equal_headers_are_read(spark, tmp_path):
@@ -49,12 +94,14 @@ def test_blank_first_line_is_no_header(spark, tmp_path):
 
 
 @pytest.mark.parametrize("first", ["a", "b"])
-def test_mixed_folder_is_an_error(spark, tmp_path, first):
+def test_mixed_folder_is_read_file_by_file(spark, tmp_path, first):
     named, unnamed = ("a", "b") if first == "a" else ("b", "a")
-    (tmp_path / f"{named}.csv").write_text("Timestamp,Station\n2024-01-01,S1\n")
-    (tmp_path / f"{unnamed}.csv").write_text("2024-01-02,S2\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        sources.read_station_files(spark, str(tmp_path)).collect()
+    (tmp_path / f"{named}.csv").write_text("Station,Timestamp,Region\nS1,2024-01-01,LA\n")
+    (tmp_path / f"{unnamed}.csv").write_text("\n2024-01-02,S2\n2024-01-03,S3,7\n")
+    assert not sources.has_header(spark, str(tmp_path))
+    table = sources.read_station_files(spark, str(tmp_path))
+    assert as_rows(table, "Station", "Timestamp") == [("S1", "2024-01-01"), ("S2", "2024-01-02"), ("S3", "2024-01-03")]
+    assert as_rows(table.na.fill("-"), "Region", "District") == [("-", "-"), ("-", "7"), ("LA", "-")]
 
 
 # --- batch metrics ----------------------------------------------------------------
