@@ -8,6 +8,9 @@ hashes of the subsets its terms are in, and there is a rate at which a subset ta
 few terms of a document, whether that is short or long. A fingerprint is the list of
 these hashes, empty where a document has no term of the subset.
 
+A text that many rows hold counts once where the band asks whether a term is too common,
+so that copies do not take their own words out of the lexicon.
+
 A text without any term of the lexicon is known by the hash of the text alone.
 """
 
@@ -21,13 +24,14 @@ from pyspark.sql import functions as F
 from roadpulse.llm.frames import only, width
 from roadpulse.storage import materialise
 
-# A term is in the lexicon if at least one document in LEAST_OF has it, two anyway,
-# and no more than one in MOST_OF.
-LEAST_OF, MOST_OF = 1000, 5
+# A term is in the lexicon if at least one row in LEAST_OF has it, two anyway, and no
+# more than one text in MOST_OF. Texts are rows, but one that more than one row in
+# OFTEN_OF holds, and more than one row, is a single text however many hold it.
+LEAST_OF, MOST_OF, OFTEN_OF = 1000, 5, 10_000
 RATES, SETS = (32, 128, 512), 16
 # All documents have their distinct terms, so no more than LEAST_OF times their mean
-# number can each be in one of LEAST_OF documents. The lexicon is held by every task;
-# a corpus of books would need a larger LEAST_OF share and fails here instead.
+# number can each be in one of LEAST_OF documents. A lexicon up to this size is held by
+# every task; a larger one, as of a corpus of books, is joined by a shuffle.
 MOST_TERMS = 2_000_000
 _GAP = r"[\x20\x09-\x0D]+"
 _NOTHING = md5(b"").hexdigest()[:16]
@@ -40,17 +44,34 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.array_distinct(words), "")
 
 
+def _counted(documents: DataFrame) -> DataFrame:
+    """``text, copies``: each row, but a text that is held often as one row with its number of copies.
+
+    Only hashes are shuffled, and one text per task of those held often: each is held by more
+    than one row in ``OFTEN_OF`` and by two at least, so there are fewer than ``OFTEN_OF``.
+    """
+    n_docs = documents.count()
+    hashed = documents.select("text", F.md5("text").alias("hash"))
+    often = hashed.groupBy("hash").agg(F.count("*").alias("copies")).filter(F.col("copies") > max(1, n_docs // OFTEN_OF))
+    often = F.broadcast(materialise(often, "imatch-copies"))
+    rare = hashed.join(often, "hash", "left_anti").select("text", F.lit(1).cast("bigint").alias("copies"))
+    held = hashed.join(often.select("hash"), "hash").groupBy("hash").agg(F.any_value("text").alias("text"))
+    return rare.unionByName(held.join(often, "hash").select("text", "copies"))
+
+
 def lexicon(documents: DataFrame) -> DataFrame:
-    """``term, df, mask`` of the band over all of ``documents`` (``text``).
+    """``term, df, mask`` of the band over all of ``documents`` (``text``); ``df`` counts rows.
 
     Bit 0 of ``mask`` is the whole lexicon, then ``SETS`` bits per rate: at a rate of
     one in ``r`` the hash of a term modulo ``r`` names its subset, if it is below
     ``SETS``.
     """
-    n_docs = documents.count()
-    least, most = max(2, -(-n_docs // LEAST_OF)), max(2, n_docs // MOST_OF)
-    counts = documents.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term")
-    band = counts.agg(F.count("*").alias("df")).filter(F.col("df").between(least, most))
+    counted = _counted(documents)
+    n_docs, n_texts = counted.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.count("*")).first()
+    least, most = max(2, -(-n_docs // LEAST_OF)), max(2, n_texts // MOST_OF)
+    counts = counted.select(F.explode(terms(F.col("text"))).alias("term"), "copies").groupBy("term")
+    band = counts.agg(F.sum("copies").alias("df"), F.count("*").alias("texts"))
+    band = band.filter((F.col("df") >= least) & (F.col("texts") <= most))
     digest = F.md5("term")
     mask = F.lit(1).cast("bigint")
     for i, rate in enumerate(RATES):
@@ -60,14 +81,18 @@ def lexicon(documents: DataFrame) -> DataFrame:
     return band.select("term", "df", mask.alias("mask"))
 
 
-def checked(found: DataFrame) -> DataFrame:
-    """The lexicon as the small side of a join, with an empty term that every text has."""
+def joined(found: DataFrame) -> tuple[DataFrame, str]:
+    """The lexicon as a side of a join, and the kind of join that keeps texts without a term of it.
+
+    The small one is broadcast, with an empty term that every text has, so that rows without
+    a term of the lexicon end at the join.
+    """
     found = materialise(found, "imatch-lexicon")
-    size = found.count()
-    if size > MOST_TERMS:
-        raise ValueError(f"the lexicon has {size} terms, at most {MOST_TERMS} can be held by a task")
+    words = found.select("term", "mask")
+    if found.count() > MOST_TERMS:
+        return words, "left"
     marker = found.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(0).cast("bigint").alias("mask"))
-    return F.broadcast(found.select("term", "mask").union(marker))
+    return F.broadcast(words.union(marker)), "inner"
 
 
 def _hashes(known: Column, text_hash: Column) -> Column:
@@ -93,10 +118,10 @@ def _hashes(known: Column, text_hash: Column) -> Column:
     return F.concat(F.array(whole), *map(subsets, rates))
 
 
-def _prints(rows: DataFrame, key: list[str], keep: list[str], bodies: list[str], words: DataFrame) -> DataFrame:
+def _prints(rows: DataFrame, key: list[str], keep: list[str], bodies: list[str], words: tuple[DataFrame, str]) -> DataFrame:
     """``key``, ``keep`` and per column of ``bodies`` its fingerprint, as ``print_<column>``.
 
-    Terms are exploded, joined with the broadcast lexicon and collected per ``key``.
+    Terms are exploded, joined with the lexicon and collected per ``key``.
     """
     whole = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(b).alias("body")) for i, b in enumerate(bodies)])
     hashes = [F.md5(b).alias(f"hash_{b}") for b in bodies]
@@ -104,7 +129,7 @@ def _prints(rows: DataFrame, key: list[str], keep: list[str], bodies: list[str],
     bodied = rows.select(*key, *keep, *hashes, F.explode(whole).alias("b")).filter("b.body is not null")
     with_marker = F.concat(terms(F.col("b.body")), F.array(F.lit("")))
     spread = bodied.select(*carried, F.col("b.kind").alias("kind"), F.explode(with_marker).alias("term"))
-    seen = spread.join(words, "term")
+    seen = spread.join(words[0], "term", words[1])
     first = [F.any_value(c).alias(c) for c in carried if c not in key]
     kinds = [
         F.collect_list(F.when((F.col("kind") == i) & (F.col("mask") != 0), F.struct("term", "mask"))).alias(f"terms_{b}")
@@ -139,7 +164,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     result; other columns are not looked at.
     """
     rows = only(documents, doc_id="doc_id", text=F.coalesce(documents["text"], F.lit("")))
-    words = checked(lexicon(rows))
+    words = joined(lexicon(rows))
     rows = rows.withColumn("_row", F.monotonically_increasing_id())
     found = _prints(rows, ["_row"], ["doc_id"], ["text"], words)
     return found.select("doc_id", written(F.col("print_text")).alias("fingerprint"))
@@ -199,7 +224,7 @@ def edit_test(documents: DataFrame) -> DataFrame:
     """
     place = F.coalesce(documents["doc_id"].cast("bigint"), F.lit(-(2**63)))
     rows = only(documents, doc_id="doc_id", place=place, text=F.coalesce(documents["text"], F.lit("")))
-    words = checked(lexicon(rows))
+    words = joined(lexicon(rows))
     n_chars = F.length("text")
     cut = F.floor(n_chars / 4).cast("int")
     edited = F.concat(F.left(F.col("text"), n_chars - cut), F.left(F.col("next_text"), cut))

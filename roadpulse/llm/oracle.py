@@ -98,18 +98,24 @@ with docs as (
         coalesce(lead(text) over (order by doc_id), first_value(text) over (order by doc_id)) as next_text,
         coalesce(lead(doc_id) over (order by doc_id), first_value(doc_id) over (order by doc_id)) as next_id
     from docs
+), often as (
+    select md5(text) as hash from docs group by text
+    having count(*) > greatest(1, (select count(*) // 10000 from docs))
 ), bodies as (
     select doc_id, 0 as kind, text as body from edited
     union all
     select doc_id, 1, left(text, n - n // 4) || left(next_text, n // 4) from edited
 ), spread as (
-    select doc_id, kind, unnest({_IMATCH_TERMS.format('body')}) as term from bodies
+    select doc_id, kind, if(kind = 0, md5(body), null) as hash, unnest({_IMATCH_TERMS.format('body')}) as term from bodies
+), texts as (
+    select count(*) filter (o.hash is null) + count(distinct o.hash) as n
+    from docs left join often o on o.hash = md5(text)
 ), lexicon as (
     select term, ('0x' || substr(md5(term), 1, 4))::bigint as h1, ('0x' || substr(md5(term), 5, 4))::bigint as h2,
         ('0x' || substr(md5(term), 9, 4))::bigint as h3
-    from spread where kind = 0 group by term
-    having count(*) between greatest(2, (select ceil(count(*) / 1000) from docs))
-        and greatest(2, (select count(*) // 5 from docs))
+    from spread left join often using (hash) where kind = 0 group by term
+    having count(*) >= greatest(2, (select ceil(count(*) / 1000) from docs))
+        and count(*) filter (often.hash is null) + count(distinct often.hash) <= greatest(2, (select n // 5 from texts))
 ), kept as (
     select doc_id, kind, list(struct_pack(term := term, h1 := h1, h2 := h2, h3 := h3) order by term) as w
     from spread join lexicon using (term) group by doc_id, kind

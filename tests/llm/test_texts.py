@@ -128,14 +128,17 @@ def brute_prints(texts):
     """The fingerprint of each text over the lexicon of the first half of them."""
     words = lambda t: sorted({w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", t)}, key=lambda w: w.encode())
     half = texts[: len(texts) // 2]
-    df = {}
-    for t in half:
+    df, texts_with = {}, {}
+    often = {t for t in half if half.count(t) > max(1, len(half) // imatch.OFTEN_OF)}
+    for i, t in enumerate(half):
         for w in words(t):
             df[w] = df.get(w, 0) + 1
-    least, most = max(2, -(-len(half) // imatch.LEAST_OF)), max(2, len(half) // imatch.MOST_OF)
+            texts_with.setdefault(w, set()).add(t if t in often else i)
+    n_texts = len({t if t in often else i for i, t in enumerate(half)})
+    least, most = max(2, -(-len(half) // imatch.LEAST_OF)), max(2, n_texts // imatch.MOST_OF)
     out = []
     for t in texts:
-        kept = [w for w in words(t) if least <= df.get(w, 0) <= most]
+        kept = [w for w in words(t) if df.get(w, 0) >= least and len(texts_with[w]) <= most]
         md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
         lists = [kept]
         for i, rate in enumerate(imatch.RATES):
@@ -151,10 +154,12 @@ def like(a, b):
     return sum(x == y != "" for x, y in pairs) / sum(x != "" or y != "" for x, y in pairs)
 
 
-def test_fingerprints_equal_brute_force(spark):
+@pytest.mark.parametrize("most_terms", [2_000_000, 1])
+def test_fingerprints_equal_brute_force(spark, monkeypatch, most_terms):
+    monkeypatch.setattr(imatch, "MOST_TERMS", most_terms)  # a larger lexicon is joined, not broadcast
     rng = np.random.default_rng(5)
     texts = [" ".join(f"t{int(x)}" for x in rng.zipf(1.4, rng.integers(1, 200)) % 400) for _ in range(60)]
-    texts += [texts[0], texts[3].upper(), "", None, "lone", "é " * 9]
+    texts += [texts[0], texts[3].upper(), "", None, "lone", "é " * 9] + ["seen " + texts[7] + " often"] * 40
     rows = [(3 * i - 7, t, None) for i, t in enumerate(texts)] + [(None, "t1 t2", None), (2, texts[5], None)]
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
     plain = [r[1] or "" for r in order]
@@ -181,11 +186,13 @@ def test_fingerprints_of_few(spark):
     assert only["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest() and only["near_next"] == 1.0
 
 
-def test_lexicon_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(imatch, "MOST_TERMS", 1)
-    rows = [(i, "a b c d", None) for i in range(2)]
-    with pytest.raises(ValueError, match="lexicon"):
-        imatch.fingerprints(documents(spark, rows))
+def test_a_third_of_equal_rows_keeps_its_terms(spark):
+    """Copies do not make their own words too common."""
+    copied = " ".join(f"c{i}" for i in range(60))
+    rows = [(i, copied if i % 3 == 0 else " ".join(f"w{i}x{j}" for j in range(60)), None) for i in range(30)]
+    got = {r["doc_id"]: r for r in imatch.edit_test(documents(spark, rows)).collect()}
+    assert all(got[i]["near_edited"] > 0 and got[i]["fingerprint"][0] != "x" for i in range(0, 30, 3))
+    assert len({got[i]["fingerprint"] for i in range(0, 30, 3)}) == 1
 
 
 # --- languages --------------------------------------------------------------------
