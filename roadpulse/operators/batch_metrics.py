@@ -10,6 +10,9 @@ from roadpulse.functions.labels import seconds_of, short_label
 from roadpulse.storage import materialise
 
 
+_LAST_BATCH, _LAST_TIME = 2**61, 2**63 - 1
+
+
 def normalise_metrics(metrics: DataFrame) -> DataFrame:
     """Give metrics of any accepted layout ``duration_sec``, ``throughput_rps``
     and ``config``, and drop rows without duration, throughput or row count.
@@ -50,25 +53,26 @@ def drop_warmup(metrics: DataFrame, run: str | None = None) -> DataFrame:
     Runs of one pair are pooled, so one row goes per pair; name a ``run`` column
     to drop one per run instead.
 
-    The first batch has the smallest number, then time, then row id, each a hashed
-    minimum that combines on the map side; a number or time that is missing comes
-    last. The rows are written once, so that the ids are the same in all branches.
+    The first batch has the smallest whole number, then time; of rows equal in both, any
+    one goes. A number or time that is missing comes last, so does a number beyond 2**61.
+    Number and time are one wide decimal, whose minimum is hashed and combines on the map
+    side: one pass, one exchange of a row per task and pair. The rows are written once, so
+    that their ids are the same in both branches, and so are the chosen ids.
     """
     keys = ["window_seconds", "trigger_seconds", *([run] if run else [])]
     kept = materialise(metrics.withColumn("_row", F.monotonically_increasing_id()), "metrics")
-    time = F.unix_micros(F.col("timestamp").try_cast("timestamp"))
-    first = kept.select(
-        *keys,
-        F.coalesce(F.col("batch_id").cast("double"), F.lit(float("inf"))).alias("_batch"),
-        F.coalesce(time, F.lit(2**63 - 1)).alias("_time"),
-        "_row",
-    )
-    for order in ("_batch", "_time", "_row"):
-        least = first.groupBy(*keys).agg(F.min(order).alias("_least"))
-        same = [F.col(f"first.{k}").eqNullSafe(F.col(f"least.{k}")) for k in keys]
-        at_least = F.col(f"first.{order}") == F.col("least._least")
-        first = first.alias("first").join(least.alias("least"), [*same, at_least], "left_semi")
-    return kept.join(first.select("_row"), "_row", "left_anti").drop("_row")
+    first = kept.groupBy(*keys).agg(F.min_by("_row", _batch_order()).alias("_row")).select("_row")
+    return kept.join(materialise(first, "warmup"), "_row", "left_anti").drop("_row")
+
+
+def _batch_order() -> Column:
+    """Batch number, then time, as one number of 126 bits that sorts as they do."""
+    number = F.col("batch_id").cast("double")
+    whole = F.when(number.between(float(-_LAST_BATCH), float(_LAST_BATCH)), F.floor(number))
+    micros = F.unix_micros(F.col("timestamp").try_cast("timestamp"))
+    batch = F.coalesce(whole, F.lit(_LAST_BATCH)).cast("decimal(20,0)") + F.lit(_LAST_BATCH)
+    time = F.coalesce(micros, F.lit(_LAST_TIME)).cast("decimal(20,0)") + F.lit(_LAST_TIME)
+    return batch.cast("decimal(19,0)") * F.lit(2**32).cast("decimal(10,0)") * F.lit(2**32).cast("decimal(10,0)") + time
 
 
 def steady_state_summary(metrics: DataFrame, run: str | None = None) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import queries
 from roadpulse import storage
 from roadpulse.__main__ import parse
+from roadpulse.plans.catalog import QUERIES
 
-BATCH = sorted(name for name in queries() if not name.startswith(("stream_", "sweep_", "sink_")))
+BATCH = sorted(name for name in QUERIES if not name.startswith(("stream_", "sweep_", "sink_")))
 
 
 def plan_of(frame) -> str:
@@ -17,7 +17,7 @@ def plan_of(frame) -> str:
 
 @pytest.mark.parametrize("name", BATCH)
 def test_plans_stay_in_the_jvm_without_cross_joins(spark, small, name):
-    plan = plan_of(queries()[name](spark, small))
+    plan = plan_of(QUERIES[name](spark, small))
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "PythonRunner"):
         assert node not in plan
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -25,7 +25,7 @@ def test_plans_stay_in_the_jvm_without_cross_joins(spark, small, name):
 
 
 def test_flagship_reads_three_columns_and_shuffles_once(spark, small):
-    plan = plan_of(queries()["congestion_index"](spark, small))
+    plan = plan_of(QUERIES["congestion_index"](spark, small))
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
     assert "PushedFilters: [IsNotNull(ts)]" in plan
     assert plan.count("Exchange") == 1
@@ -33,29 +33,29 @@ def test_flagship_reads_three_columns_and_shuffles_once(spark, small):
 
 
 def test_region_filter_reaches_the_scan(spark, small):
-    plan = plan_of(queries()["congestion_index"](spark, small).where("region = 'view'"))
+    plan = plan_of(QUERIES["congestion_index"](spark, small).where("region = 'view'"))
     assert "EqualTo(event_type,view)" in plan
 
 
 def test_cleaning_needs_no_shuffle(spark, small):
     for name in ("prepared_records", "drop_unobserved", "canonical_reading", "src_json_decode"):
-        assert "Exchange" not in plan_of(queries()[name](spark, small))
+        assert "Exchange" not in plan_of(QUERIES[name](spark, small))
 
 
 def test_audit_and_quality_take_one_pass(spark, small):
     for name in ("cleaning_audit", "quality_counts"):
-        plan = plan_of(queries()[name](spark, small))
+        plan = plan_of(QUERIES[name](spark, small))
         assert plan.count("FileScan") == 1
         assert "partial_count" in plan
 
 
 def test_top_k_is_no_full_sort(spark, small):
     for name in ("peak_congestion", "head_rows", "payload_samples"):
-        assert "TakeOrderedAndProject" in plan_of(queries()[name](spark, small))
+        assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, small))
 
 
 def test_chunk_positions_come_from_a_broadcast_of_partition_counts(spark, small):
-    plan = plan_of(queries()["chunk_assign"](spark, small))
+    plan = plan_of(QUERIES["chunk_assign"](spark, small))
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan
 

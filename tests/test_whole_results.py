@@ -170,6 +170,15 @@ def test_warmup_breaks_ties_by_time_then_row(spark):
     assert got == set(rows) - {(2, "2024-01-01 00:00:02")}
 
 
+def test_warmup_takes_one_exchange_and_odd_numbers_come_last(spark):
+    rows = [(1e300, "2024-01-01 00:00:00"), (float("nan"), "2024-01-01 00:00:00"), (5.0, "2024-01-01 00:00:09"), (-3.0, None)]
+    frame = spark.createDataFrame([(5, 2, *r) for r in rows], "window_seconds int, trigger_seconds int, batch_id double, timestamp string")
+    assert sorted(str(r["batch_id"]) for r in stats.drop_warmup(frame).collect()) == ["1e+300", "5.0", "nan"]
+    order = frame.groupBy("window_seconds").agg(F.min_by("batch_id", stats._batch_order()))
+    plan = order._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "SortAggregate" not in plan
+
+
 # --- update log -------------------------------------------------------------------
 
 
