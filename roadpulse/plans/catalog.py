@@ -29,6 +29,7 @@ from roadpulse.plans import feeds
 from roadpulse.schemas import BASE_COLUMNS, FLOW_NAMES, SPEED_NAMES, STATION_READING
 from roadpulse.sinks import fanout
 from roadpulse.sinks import files as sinks
+from roadpulse.sinks.parts import compact_parts
 from roadpulse.sources import files as sources
 from roadpulse.storage import fresh_path, materialise
 from roadpulse.streaming import job, open_windows
@@ -752,10 +753,28 @@ def stream_resume(spark, sf_dir):
     return _in_turns(spark, [events.where(F.col("ts") < half), events.where(F.col("ts") >= half)])
 
 
-def _run_in_turns(spark: SparkSession, arrivals: list[DataFrame], **changes) -> JobParams:
+@measured
+def sink_parquet_compacted(spark, sf_dir):
+    """A job started three times; its output is folded before the last start, which adds files."""
+    events = feeds.event_readings(spark, sf_dir)
+    days = [F.lit(day).cast("timestamp_ntz") for day in ("2024-01-11", "2024-01-21")]
+    arrivals = [
+        events.where(F.col("ts") < days[0]),
+        events.where((F.col("ts") >= days[0]) & (F.col("ts") < days[1])),
+        events.where(F.col("ts") >= days[1]),
+    ]
+    params = _run_in_turns(spark, arrivals[:2])
+    compact_parts(spark, params.output_path)
+    params = _run_in_turns(spark, arrivals[2:], params)
+    return sources.read_aggregates(spark, params.output_path)
+
+
+def _run_in_turns(
+    spark: SparkSession, arrivals: list[DataFrame], started: JobParams | None = None, **changes
+) -> JobParams:
     """Let each part arrive, run the job to its end, and start it again."""
-    inbox = fresh_path(spark, "inbox")
-    params = job_params(spark, input_path=inbox, **changes)
+    params = started or job_params(spark, input_path=fresh_path(spark, "inbox"), **changes)
+    inbox = params.input_path
     for part in arrivals:
         part.withColumn("ts", F.col("ts").cast("timestamp")).write.mode("append").parquet(inbox)
         stream = spark.readStream.schema(spark.read.parquet(inbox).schema).parquet(inbox)

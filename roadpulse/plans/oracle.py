@@ -480,6 +480,7 @@ SELECT count(*) AS arrived, count(*) FILTER (NOT late AND closed) AS emitted,
   count(*) FILTER (NOT late AND NOT closed) AS open_now, count(*) FILTER (late) AS late
 FROM judged""",
     "stream_resume": _closed(_EVENT_READINGS, "1 hour"),
+    "sink_parquet_compacted": _closed(_EVENT_READINGS, "1 hour"),
     "stream_update_mode": _aggregates(_EVENT_READINGS, "1 hour"),
     "stream_paced": f"""WITH {_READINGS}
 SELECT event_id % 4 AS batch_id, count(*) AS rows, count(speed) AS has_speed, count(vehicle_count) AS has_count

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions.cells import ISO_TIME, to_number
 from roadpulse.schemas import BASE_COLUMNS, EARLY_METRICS, LANE_FIELDS, STATION_LINE, STATION_TEXT, STATION_TYPED
 from roadpulse.sinks.files import has_folded_metrics, latest_updates
+from roadpulse.sinks.parts import read_parts
 from roadpulse.storage import first_line
 
 
@@ -175,10 +176,10 @@ def read_aggregates(spark: SparkSession, *paths: str) -> DataFrame:
     """All Parquet parts of one or several aggregate folders as one table.
 
     A folder written by a stream is read through its commit log, so parts of an
-    unfinished batch are left out. Folders per batch, as jobs with several outputs write
-    them, are one table.
+    unfinished batch are left out; what ``compact_parts`` folded is read in its place. Folders
+    per batch, as jobs with several outputs write them, are one table.
     """
-    first, *others = [spark.read.parquet(path).drop("batch") for path in paths]
+    first, *others = [read_parts(spark, path).drop("batch") for path in paths]
     for other in others:
         first = first.unionByName(other)
     return first
