@@ -11,7 +11,9 @@ from hashlib import blake2b
 from zlib import crc32
 
 # Names of the markup language.
-_RAW = "script|style|template|svg|math|iframe|noscript|object|canvas|textarea|title|select|audio|video"
+_RAW = "script|style|iframe|textarea|title"
+# Without text of the page if they end; one that never ends is left out alone.
+_MEDIA = frozenset("template svg noscript object canvas select audio video".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "html head body main article section div nav aside header footer form fieldset ul ol li dl dt dd table thead"
@@ -39,6 +41,17 @@ _OTHER_WORDS = frozenset(
     " login share sharing social related recommended recommendations comment comments commentlist reply replies"
     " respond disqus discussion feedback pager pagination skip search copyright disclaimer".split()
 )
+# First words of names that tell of a layout or a topic, such as ``with-sidebar``.
+_ABOUT = frozenset("has with no without tag category".split())
+# Tags that no name rules out, and words that rule out whatever they name.
+_NEVER_OTHER = frozenset("html body main".split())
+_REMARKS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored comment comments commentlist"
+    " reply replies respond disqus feedback cookie cookies consent gdpr notice notices".split()
+)
+# Words that may as well be what a section of an article is about, and what such a section is made of.
+_TOPICS = frozenset("related discussion social search".split())
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{_RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -47,6 +60,7 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*+>",
     re.S | re.I,
 )
+_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _MEDIA}
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -66,9 +80,12 @@ class Node:
         return [p for p in self.parts if isinstance(p, Node)]
 
 
-def _names(rest: str) -> tuple[str, bool]:
-    """The words of class and id that name a node, and whether they or its role rule it out."""
-    words, ruled_out = [], False
+def _names(rest: str, whole: bool) -> tuple[str, bool, set[str]]:
+    """The words of class and id that name a node, whether its role rules it out, and the words that may.
+
+    Only names that are such a word as a ``whole`` may, or any name that has one.
+    """
+    words, ruled_out, doubts = [], False, set()
     for name, a, b, c in _ATTRIBUTE.findall(rest):
         value = a or b or c
         if name.lower() == "role":
@@ -76,8 +93,12 @@ def _names(rest: str) -> tuple[str, bool]:
         elif name.lower() == "hidden":
             ruled_out |= not value or value.lower() == "hidden"
         else:
-            words += _WORD.findall(_CAMEL.sub(" ", value).lower())
-    return ".".join(words), ruled_out or not _OTHER_WORDS.isdisjoint(words)
+            for token in value.split():
+                parts = _WORD.findall(_CAMEL.sub(" ", token).lower())
+                words += parts
+                if parts and parts[0] not in _ABOUT and (len(parts) == 1 or not whole):
+                    doubts |= _OTHER_WORDS.intersection(parts)
+    return ".".join(words), ruled_out, doubts
 
 
 def parse(page: str) -> Node:
@@ -88,6 +109,8 @@ def parse(page: str) -> Node:
     text: list[str] = []
     linked, in_link = 0, 0
     skipped, depth_skipped = "", 0  # formatting that is ruled out, without ending its block
+    doubtful: list[tuple[Node, set[str], bool]] = []  # ruled out by name, and whether within an article
+    endless: set[str] = set()
     at = 0
 
     def flush() -> None:
@@ -110,7 +133,7 @@ def parse(page: str) -> Node:
             depth -= 1
         return depth
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             if not skipped:
                 piece = page[at : m.start()]
@@ -141,14 +164,22 @@ def parse(page: str) -> Node:
         if tag == "a":
             in_link = 1
         rest = m["rest"]
-        names, ruled_out = _names(rest) if rest and not rest.isspace() else ("", False)
+        if tag in _MEDIA:
+            if tag not in endless and not rest.endswith("/"):
+                end = _END[tag].search(page, at)
+                if end:
+                    at = end.end()
+                else:
+                    endless.add(tag)
+            continue
+        names, ruled_out, doubts = _names(rest, tag == "article") if rest and not rest.isspace() else ("", False, set())
         if tag in _VOID:
             text.append("\n" if tag in ("br", "hr") else "")
             if tag == "hr":
                 flush()
             continue
         if tag not in _BLOCKS:
-            if ruled_out:
+            if ruled_out or doubts:
                 skipped, depth_skipped = tag, 1
             continue
         flush()
@@ -164,6 +195,9 @@ def parse(page: str) -> Node:
                     break
         in_link = 0
         node = Node(f"{tag}:{names}" if names else tag, ruled_out or tag in _OTHER_TAGS)
+        if doubts and not node.other and tag not in _NEVER_OTHER:
+            node.other = True
+            doubtful.append((node, doubts, bool(open_tags["article"] or open_tags["main"])))
         stack[-1].parts.append(node)
         stack.append(node)
         tags.append(tag)
@@ -171,9 +205,37 @@ def parse(page: str) -> Node:
     if at < len(page) and not skipped:
         text.append(page[at:])
     flush()
+    if doubtful:
+        _spare(root, doubtful)
     return root
 
 
+def _spare(root: Node, doubtful: list[tuple[Node, set[str], bool]]) -> None:
+    """Take back what a name rules out where the content tells otherwise.
+
+    A box around the article is no sidebar, whatever its name: it has a heading of the
+    first level, an article or a main element, and most of the page's text that is not
+    linked. A section within an article that is headed, made of plain prose and hardly
+    linked may be about what its name says. Adverts, comments and notices stay out.
+    """
+    size: dict[int, int] = {}
+    linked: dict[int, int] = {}
+    article: set[int] = set()
+    for n in reversed(_preorder(root)):
+        own = [p for p in n.parts if not isinstance(p, Node)]
+        size[id(n)] = sum(len(t) for t, _ in own) + sum(size[id(c)] for c in n.children)
+        linked[id(n)] = sum(links for _, links in own) + sum(linked[id(c)] for c in n.children)
+        if any(id(c) in article or _tag(c.label) in ("h1", "article", "main") for c in n.children):
+            article.add(id(n))
+    total = size[id(root)] - linked[id(root)]
+    for node, doubts, within in doubtful:
+        if doubts <= _TOPICS and within and 3 * linked[id(node)] <= size[id(node)]:
+            tags = {_tag(c.label) for c in node.children}
+            node.other = not (tags <= _PROSE and any(re.fullmatch("h[1-6]", t) for t in tags))
+        elif doubts.isdisjoint(_REMARKS) and id(node) in article:
+            node.other = 2 * (size[id(node)] - linked[id(node)]) <= total
+
+
 @dataclass(eq=False)
 class Slot:
     """A node of a template, or of one page on its way into one.
@@ -436,13 +498,15 @@ def _key(place: int, text: str) -> int:
 
 def _kept(node: Node, place: int) -> list[tuple[Node, int]]:
     """A node and what is below it in page order, without what is ruled out by its name."""
-    out, todo = [], [(node, place)]
+    out, todo = [], [(node, place, False)]
     while todo:
-        top, at = todo.pop()
-        # The head of an article holds its title; other headers hold none.
-        if top is node or not top.other and (not top.label.startswith("header") or _has_title(top)):
+        top, at, within = todo.pop()
+        tag = _tag(top.label)
+        # The head of an article holds its title or its first paragraph; other headers hold none.
+        if top is node or not top.other and (tag != "header" or _has_title(top) or within and _has_lead(top)):
             out.append((top, at))
-            todo += [(c, _inside(at, c.label)) for c in reversed(top.children)]
+            within |= tag == "article"
+            todo += [(c, _inside(at, c.label), within) for c in reversed(top.children)]
     return out
 
 
@@ -505,6 +569,10 @@ def _has_title(node: Node) -> bool:
     return any(re.match(r"h[1-6]\b", n.label) for n in _preorder(node)[1:])
 
 
+def _has_lead(node: Node) -> bool:
+    return any(_tag(n.label) == "p" and any(not isinstance(p, Node) and p[1] < len(p[0]) for p in n.parts) for n in node.children)
+
+
 def _follow(node: Node, path: list[str | list[str]]) -> list[tuple[Node, int]]:
     here = [(node, 0)]
     for step in path:

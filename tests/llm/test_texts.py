@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -334,6 +335,65 @@ def test_constant_boxes_are_left_out(spark):
         assert got == want
 
 
+# Pages of a host each, {i} being the page, {w} varying prose; and the exact text.
+NAMED = {
+    "main with a layout class": (
+        "<body><main class='with-sidebar'><h1>T {i}</h1><p>{w}</p></main><div class=rail><p>teaser {i}</p></div>",
+        "T {i}\n{w}",
+    ),
+    "body with a layout class": (
+        "<body class='has-sidebar'><div class=a><p>{w}</p></div><div class=b><p>{w}{w}</p></div>", "{w}\n{w}{w}"
+    ),
+    "box around the article": (
+        "<body><nav>menu</nav><div id='sidebar-layout'><div><h1>T {i}</h1><p>{w}</p></div><div class=sidebar>side {i}</div></div>",
+        "T {i}\n{w}",
+    ),
+    "sections about their name": (
+        "<body><article><h1>T {i}</h1><p>{w}</p><div class='related-work'><h2>Related work {i}</h2><p>others {i}</p></div>"
+        "<section id=discussion><h2>Discussion {i}</h2><p>what of it {i}</p></section>"
+        "<div class=related><h3>More {i}</h3><p><a>linked {i}</a></p></div>"
+        "<section id=comments><h3>Comments {i}</h3><p>reader {i}</p></section></article>",
+        "T {i}\n{w}\nRelated work {i}\nothers {i}\nDiscussion {i}\nwhat of it {i}",
+    ),
+    "lead in a header": (
+        "<body><header><p>site {i}</p></header><article><header><p>Lead {i}</p></header><p>{w}</p></article>",
+        "Lead {i}\n{w}",
+    ),
+    "formulas and pictures": (
+        "<body><article><p>{w} <math><mi>x</mi><mo>=</mo><mn>{i}</mn></math> holds</p><p>a{i}<svg/> b"
+        "<svg><text>no</text></svg> c</p><video src=v><p>after {i}</p><object data=o>none</object><p>end {i}</p></article>",
+        "{w} x={i} holds\na{i} b c\nafter {i}\nend {i}",
+    ),
+    "teasers and readers": (
+        "<body><div><article><h1>T {i}</h1><p>{w}</p></article><article class='comment even'><p>reader {w}</p></article>"
+        "<div class=sidebar><article><p>teaser {i}</p></article></div></div>",
+        "T {i}\n{w}",
+    ),
+}
+
+
+def test_content_overrules_names(spark):
+    rows, want = [], {}
+    for k, (name, (page, text)) in enumerate(NAMED.items()):
+        for i in range(1, 10):
+            prose = f"own words {i * 37} " * 12
+            rows.append((100 * k + i, f"http://host{k}/{i}", page.format(i=i * 11, w=prose.strip())))
+            want[100 * k + i] = text.format(i=i * 11, w=prose.strip())
+    frame = spark.createDataFrame(rows, "page_id int, url string, html string")
+    for parts in (1, 5):
+        got = {r["page_id"]: r["text"] for r in page_text.main_text(frame.repartition(parts)).collect()}
+        for k, name in enumerate(NAMED):
+            assert got[100 * k + 1] == want[100 * k + 1], name
+        assert got == want
+
+
+def test_elements_that_never_end_take_linear_time():
+    page = "<p>a" + "<svg><video>b" * 50_000
+    began = time.perf_counter()
+    assert dom.extract(dom.parse(page), None) == "a" + "b" * 50_000
+    assert time.perf_counter() - began < 10
+
+
 def test_matching_keeps_order_and_labels():
     a = dom.slots(dom.parse("<body><nav>x</nav><div><h1>t</h1><p>a</p><p>b</p></div><footer>f</footer>"))
     b = dom.slots(dom.parse("<body><div class=ad>x</div><div><h1>u</h1><p>c</p></div><footer>g</footer>"))
