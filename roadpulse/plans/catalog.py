@@ -8,6 +8,7 @@ files to the cluster's shared folder first.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import wraps
 
@@ -26,7 +27,7 @@ from roadpulse.operators import (
     windows,
 )
 from roadpulse.plans import feeds
-from roadpulse.schemas import BASE_COLUMNS, FLOW_NAMES, SPEED_NAMES, STATION_READING
+from roadpulse.schemas import BASE_COLUMNS, FLOW_NAMES, SPEED_NAMES, STATION_READING, load_schema
 from roadpulse.sinks import fanout
 from roadpulse.sinks import files as sinks
 from roadpulse.sinks.parts import compact_parts
@@ -209,6 +210,19 @@ def src_metrics(spark, sf_dir):
     return sources.read_metrics(spark, path).withColumnRenamed("timestamp", "logged_at")
 
 
+@query
+def src_described_schema(spark, sf_dir):
+    """Orders as headerless CSV, read by a schema that a JSON file describes."""
+    orders, described = fresh_path(spark, "orders"), fresh_path(spark, "schema")
+    fields = {"o_orderkey": "integer", "o_orderstatus": "string", "o_totalprice": "double"}
+    feeds.table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_orderstatus", "cast(o_totalprice as double)"
+    ).write.csv(orders)
+    text = json.dumps({"fields": [{"name": name, "type": kind} for name, kind in fields.items()]})
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(described)
+    return spark.read.schema(load_schema(spark, described)).csv(orders)
+
+
 @query
 def src_metrics_early(spark, sf_dir):
     path = fresh_path(spark, "metrics")

@@ -263,6 +263,8 @@ SELECT CAST(n_columns AS INTEGER) AS n_columns, count(*) AS n_lines,
   || CASE WHEN n_columns IN (13, 18, 23) THEN '|Extra_' || (n_columns - 1) ELSE '' END AS column_names
 FROM widths GROUP BY n_columns""",
     "src_csv_batch": f"WITH {_STATION} SELECT {_CSV_CELLS}, region FROM station",
+    "src_described_schema": """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus,
+  CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders""",
     "src_parquet_parts": _aggregates(_EVENT_READINGS, "1 hour"),
     "src_metrics": f"""WITH {_METRICS}
 SELECT CAST(logged_at AS TIMESTAMP) AS logged_at, batch_id, rows, {_round("duration_sec")} AS duration_sec,
