@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,10 @@ from roadpulse.llm.worker_memory import Memo
 END_ID = 2
 SEGMENT_IDS = 1 << 19
 # Bytes of words and their ids that a Python worker remembers, and the longest such word.
-REMEMBERED_BYTES, REMEMBERED_CHARS = 320 << 20, 40
+# An executor may have more workers than cores: one that has just ended a task still lives.
+REMEMBERED_BYTES, REMEMBERED_CHARS = 128 << 20, 40
+# Bytes of texts that are encoded together, a batch more at most.
+TOGETHER_BYTES = 4 << 20
 # Words encoded in one run; the library works faster on short texts.
 RUN_WORDS = 200
 SEGMENT = """file int, segment int, start bigint, n_ids bigint, doc_ids array<bigint>, lengths array<int>,
@@ -63,8 +67,19 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.spaced[i] = token.startswith("\u0120")
 
-    def _split(self, text: str) -> list[str]:
-        return self.single_space.split(text) if self.white_run.search(text) else text.split(" ")
+    def _split(self, texts: list[str]) -> tuple[list[int], pa.Array, np.ndarray]:
+        """The texts in another order, the words of all of them, and how many each has, one at least."""
+        runs = [i for i, t in enumerate(texts) if self.white_run.search(t)]
+        apart = set(runs)
+        others = [i for i in range(len(texts)) if i not in apart]
+        lists = pc.split_pattern(pa.array([texts[i] for i in others], pa.large_string()), " ")
+        counts = [pc.list_value_length(lists).to_numpy(zero_copy_only=False)]
+        words = [lists.flatten()]
+        for i in runs:
+            found = self.single_space.split(texts[i])
+            counts.append(np.array([len(found)]))
+            words.append(pa.array(found, pa.large_string()))
+        return others + runs, pa.concat_arrays(words), np.concatenate(counts).astype(np.int64)
 
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of words that follow a space.
@@ -92,21 +107,35 @@ class Encoder:
         """Ids of each text as 32-bit numbers. All words but a text's first follow a space.
 
         Each distinct word of the texts is looked up once in what the worker remembers;
-        its occurrences find it in the small table of these texts.
+        its occurrences take its ids from the table of the words of these texts.
         """
-        parts = [self._split(t) for t in texts]
-        firsts = self.tokenizer.encode_batch_fast([words.pop(0) for words in parts], add_special_tokens=False)
-        distinct = set().union(*parts)
-        here = dict(zip(distinct, map(self.known.get, distinct), strict=True))
-        missing = [w for w, ids in here.items() if ids is None]
-        for w, ids in zip(missing, self._words(missing), strict=True):
-            here[w] = ids
-            if len(w) <= REMEMBERED_CHARS:
-                self.known.learn(w, ids)
-        return [
-            np.array(first.ids, "<u4").tobytes() + b"".join(map(here.__getitem__, words))
-            for first, words in zip(firsts, parts, strict=True)
-        ]
+        if not texts:
+            return []
+        order, words, counts = self._split(texts)
+        begin = np.cumsum(counts) - counts
+        firsts = self.tokenizer.encode_batch_fast(words.take(pa.array(begin)).to_pylist(), add_special_tokens=False)
+        later = np.ones(len(words), bool)
+        later[begin] = False
+        coded = words.filter(pa.array(later)).dictionary_encode()
+        distinct, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        here = list(map(self.known.get, distinct))
+        missing = [i for i, ids in enumerate(here) if ids is None]
+        for i, ids in zip(missing, self._words([distinct[i] for i in missing]), strict=True):
+            here[i] = ids
+            if len(distinct[i]) <= REMEMBERED_CHARS:
+                self.known.learn(distinct[i], ids)
+        sizes = np.fromiter(map(len, here), np.int64, len(here)) // 4
+        places = np.cumsum(sizes) - sizes
+        sizes = sizes[codes]
+        ends = np.r_[0, np.cumsum(sizes)]
+        at = np.repeat(places[codes] - ends[:-1], sizes)
+        at += np.arange(len(at))
+        raw = np.frombuffer(b"".join(here), "<u4")[at].tobytes()
+        edges = (4 * ends[np.r_[0, np.cumsum(counts - 1)]]).tolist()
+        out = [b""] * len(texts)
+        for i, first, lo, hi in zip(order, firsts, edges, edges[1:], strict=False):
+            out[i] = np.array(first.ids, "<u4").tobytes() + raw[lo:hi]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -120,6 +149,19 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of ``batches`` in fewer, larger tables, bounded in bytes."""
+    some, size = [], 0
+    for batch in batches:
+        some.append(batch)
+        size += batch.nbytes
+        if size >= TOGETHER_BYTES:
+            yield pa.Table.from_batches(some)
+            some, size = [], 0
+    if some:
+        yield pa.Table.from_batches(some)
+
+
 def _segments(vocabulary, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary.value)
@@ -137,7 +179,7 @@ def _segments(vocabulary, end_id: int):
             }
             return pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
 
-        for batch in batches:
+        for batch in _together(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
                 doc_ids.append(doc_id)

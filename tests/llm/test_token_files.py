@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -83,3 +84,37 @@ def test_forgetful_encoder(monkeypatch):
     for _ in range(2):
         got = encoder.encode(TEXTS)
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in TEXTS]
+
+
+def test_texts_with_and_without_white_runs_together():
+    """Words are cut and coded for many texts at once; each text gets its own ids back."""
+    with open(token_files.default_vocabulary(), encoding="utf-8") as file:
+        encoder = token_files.Encoder(file.read())
+    library = Tokenizer.from_file(token_files.default_vocabulary())
+    texts = [*TEXTS, " x", "x ", "a\x1c b \x1f c", "it's 12 a", "a\xa0 b", *(f"w{i} the  w{i // 2}" for i in range(50)), "the the the"]
+    got = encoder.encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.encode([]) == []
+
+
+def test_batches_are_encoded_together(monkeypatch):
+    """A new word of several batches is encoded once, whether or not it can be remembered."""
+
+    class Task:
+        partitionId = staticmethod(lambda: 0)
+        get = classmethod(lambda cls: cls)
+
+    class Vocabulary:
+        value = open(token_files.default_vocabulary(), encoding="utf-8").read()
+
+    monkeypatch.setattr(token_files, "TaskContext", Task)
+    monkeypatch.setattr(token_files, "REMEMBERED_BYTES", 0)
+    seen = []
+    plain = token_files.Encoder._words
+    monkeypatch.setattr(token_files.Encoder, "_words", lambda self, words: seen.extend(words) or plain(self, words))
+    token_files._encoder.cache_clear()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a repeated word", None]})
+    found = list(token_files._segments(Vocabulary, 2)(iter([batch] * 20)))
+    token_files._encoder.cache_clear()
+    assert sum(b.column("n_ids")[0].as_py() for b in found) == 20 * (3 + 2)
+    assert sorted(seen) == ["repeated", "word"]
