@@ -18,6 +18,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows an Arrow batch may hold. Texts may be very long, so a batch of the default
 # 10,000 rows could outgrow a Python worker.
 BATCH_ROWS = 128
+# Short rows that are worth a partition, and a file, of their own.
+PARTITION_ROWS = 1 << 17
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -53,6 +55,16 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def folded(rows: DataFrame, most: int) -> DataFrame:
+    """``rows``, of which there are ``most`` at most, in no more partitions than they need.
+
+    A partition then has at least ``PARTITION_ROWS`` rows, or there is one for each core. For
+    rows just dealt by an aggregate's key, which are as many in each partition.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(max(cores, -(-most // PARTITION_ROWS)))
+
+
 def ranked(rows: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
     """``rows``, written once, with ``at``: their place from 0 in ``order``, over all partitions.
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.components import components
-from roadpulse.llm.frames import for_python, only
+from roadpulse.llm.frames import folded, for_python, only
 from roadpulse.llm.words import mix, shingle_sets
 from roadpulse.storage import materialise
 
@@ -186,31 +186,34 @@ def _with_component(rows: DataFrame, found: DataFrame, node: str) -> DataFrame:
     return rows.join(known, node, "left").withColumn(f"of_{node}", F.coalesce(f"of_{node}", node))
 
 
+def _with_links(found: DataFrame, more: DataFrame) -> DataFrame:
+    """Components once the links ``more`` (a, b) join those ``found``."""
+    old = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(old.unionByName(more), "a", "b")
+
+
 def _connected(
-    pairs: DataFrame, links: DataFrame, texts: DataFrame, shingle: int, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """Links and components after confirming ``pairs`` (a, b, differing) as far as they matter.
+    pairs: DataFrame, links: DataFrame, texts: DataFrame, n: int, shingle: int, percent: int
+) -> DataFrame:
+    """Components of ``links`` and ``pairs`` (a, b, differing) of ``n`` classes, after confirming what matters.
 
     First each class's most similar partner is confirmed, then whatever is still in
     two components.
     """
-    texts = _texts_of(pairs, texts)
+    texts = _texts_of(pairs, texts, n)
     best = pairs.groupBy("a").agg(F.min_by("b", "differing").alias("b"))
-    best = materialise(best, "near-best")
-    links = links.unionByName(_confirmed(best, texts, shingle, percent))
-    found = materialise(components(links, "a", "b"), "near-found")
+    best = materialise(folded(best, n), "near-best")
+    found = components(links.unionByName(_confirmed(best, texts, shingle, percent)), "a", "b")
     left = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
     apart = _with_component(_with_component(left, found, "a"), found, "b").filter("of_a != of_b")
     more = _confirmed(materialise(apart.select("a", "b"), "near-apart"), texts, shingle, percent)
-    if more.isEmpty():
-        return links, found
-    links = links.unionByName(more)
-    return links, materialise(components(links, "a", "b"), "near-found")
+    return found if more.isEmpty() else _with_links(found, more)
 
 
-def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _texts_of(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    return materialise(texts.join(materialise(wanted, "near-wanted"), "doc_id", "left_semi"), "near-texts")
+    wanted = materialise(folded(wanted, n), "near-wanted")
+    return materialise(texts.join(wanted, "doc_id", "left_semi"), "near-texts")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -232,13 +235,16 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     for_python(documents.sparkSession)
     texts = only(documents, doc_id=documents["doc_id"].cast("bigint"), text="text")
     features = materialise(texts.mapInArrow(_features(shingle), FEATURES), "near-features")
+    n = features.count()
 
     whole = features.filter("n_shingles > 0 and doc_id is not null")
     key = ["n_shingles", "sum1", "sum2"]
-    classes = materialise(whole.groupBy(*key).agg(F.min("doc_id").alias("class")), "near-classes")
+    classes = whole.groupBy(*key).agg(F.min("doc_id").alias("class"))
+    classes = materialise(folded(classes, n), "near-classes")
     members = materialise(features.select("doc_id", *key).join(classes, key, "left"), "near-members")
     reps = classes.select(F.col("class").alias("doc_id"), *key)
-    one = materialise(whole.join(reps, ["doc_id", *key]).dropDuplicates(["doc_id", *key]), "near-reps")
+    one = whole.join(reps, ["doc_id", *key]).dropDuplicates(["doc_id", *key])
+    one = materialise(folded(one, n), "near-reps")
     sketches = one.select("doc_id", *_SKETCH)
 
     # Every class against one of each of its buckets, the first by a hash of its own.
@@ -247,36 +253,36 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     drawn = banded.groupBy("bucket").agg(
         F.min(draw).alias("draw"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
     )
-    drawn = materialise(drawn.filter("first < last").select("bucket", "draw"), "near-drawn")
+    drawn = materialise(folded(drawn.filter("first < last").select("bucket", "draw"), BANDS * n), "near-drawn")
     shared = materialise(banded.withColumn("own", draw).join(drawn, "bucket"), "near-buckets")
     hubs = materialise(shared.filter("own = draw").select("bucket", F.col("doc_id").alias("hub")), "near-hubs")
     spokes = shared.join(hubs, "bucket").filter("doc_id != hub")
     spokes = spokes.select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b")).distinct()
-    spokes = materialise(spokes, "near-spokes")
+    spokes = materialise(folded(spokes, BANDS * n), "near-spokes")
     likely = spokes.join(_as(sketches, "a"), "a").join(_as(sketches, "b"), "b").filter(_close(percent))
     likely = materialise(likely.select("a", "b", _differing().alias("differing")), "near-likely")
     same_id = members.filter("doc_id is not null and class is not null").groupBy("doc_id")
     same_id = same_id.agg(F.min("class").alias("b"), F.max("class").alias("a")).filter("a > b").select("a", "b")
-    links, found = _connected(likely, same_id, texts, shingle, percent)
+    found = _connected(likely, same_id, texts, n, shingle, percent)
 
     # Then who is not in the main component of a bucket against all of the bucket.
     known = materialise(_with_component(shared.select("bucket", "doc_id"), found, "doc_id"), "near-known")
     several = known.groupBy("bucket").agg(F.min("of_doc_id").alias("x"), F.max("of_doc_id").alias("y"))
-    known = known.join(materialise(several.filter("x < y").select("bucket"), "near-several"), "bucket")
+    several = materialise(folded(several.filter("x < y").select("bucket"), BANDS * n), "near-several")
+    known = known.join(several, "bucket")
     known = materialise(known, "near-open")
     sizes = known.groupBy("bucket", "of_doc_id").agg(F.count("*").alias("n"))
-    mains = materialise(
-        sizes.groupBy("bucket").agg(F.max_by("of_doc_id", "n").alias("main")), "near-mains"
-    )
+    mains = sizes.groupBy("bucket").agg(F.max_by("of_doc_id", "n").alias("main"))
+    mains = materialise(folded(mains, BANDS * n), "near-mains")
     outside = known.join(mains, "bucket").filter("of_doc_id != main").drop("main")
     outside = materialise(_as(outside.join(sketches, "doc_id"), "a").withColumnRenamed("of_doc_id", "of_a"), "near-out")
     inside = materialise(_as(known.join(sketches, "doc_id"), "b").withColumnRenamed("of_doc_id", "of_b"), "near-in")
     across = outside.join(inside, "bucket").filter((F.col("of_a") != F.col("of_b")) & _close(percent))
     across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     across = materialise(across.join(likely, ["a", "b"], "left_anti"), "near-across")
-    more = _confirmed(across.select("a", "b"), _texts_of(across, texts), shingle, percent)
+    more = _confirmed(across.select("a", "b"), _texts_of(across, texts, n), shingle, percent)
     if not more.isEmpty():
-        found = components(links.unionByName(more), "a", "b")
+        found = _with_links(found, more)
 
     found = found.select(F.col("node").alias("class"), "component")
     joined = members.join(found, "class", "left")

@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from roadpulse import storage
+from roadpulse.llm import components as components_module
 from roadpulse.llm import near_dup, substring_dedup
 from roadpulse.llm.components import components
 from roadpulse.llm.words import grams, words
@@ -118,6 +120,48 @@ def test_components_of_chains_and_stars(spark):
     assert {r["node"]: r["component"] for r in got if r["node"] != r["component"]} == want
 
 
+def test_forest_keeps_what_is_connected():
+    """Against a walk over the links; each node but the smallest of its component comes once."""
+    rng = np.random.default_rng(5)
+    for nodes, n in ((2, 1), (30, 12), (200, 150), (50, 400)):
+        ends = np.sort(rng.integers(-nodes, nodes, (n, 2)), axis=1)
+        ends = ends[ends[:, 0] != ends[:, 1]]
+        node, least = components_module.forest(ends[:, 1], ends[:, 0])
+        want = {int(x): int(x) for x in np.unique(ends)}
+        for _ in want:
+            for a, b in ends.tolist():
+                want[a] = want[b] = min(want[a], want[b])
+        assert dict(zip(node.tolist(), least.tolist(), strict=True)) == {a: b for a, b in want.items() if a != b}
+        assert len(set(node.tolist())) == len(node)
+
+
+@pytest.mark.parametrize("local", [1, 1 << 18])
+def test_components_write_few_tables(spark, monkeypatch, local):
+    """A chain whose links are dealt over many partitions; no table has a file for each of them."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    monkeypatch.setattr(components_module, "LOCAL_LINKS", local)
+    written = []
+
+    def materialise(rows, label):
+        out = storage.materialise(rows, label)
+        written.append((label, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(components_module, "materialise", materialise)
+    try:
+        links = spark.range(60).selectExpr("id as a", "id + 1 as b").repartition(9, "a")
+        got = {r["node"]: r["component"] for r in components(links, "a", "b").collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == dict.fromkeys(range(1, 61), 0)
+    cores = spark.sparkContext.defaultParallelism
+    assert all(files <= max(cores, 9) for _, files in written), written
+
+
 def test_words_equal_a_regular_expression():
     texts = ["", None, " a b\tc\x0bd\n", "é" * 300 + " x", "\x1c\x85y", "w " * 50]
     found = words(pa.array(texts))
