@@ -30,14 +30,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm.frames import for_python, only
-from roadpulse.llm.worker_memory import Memo, release
+from roadpulse.llm.worker_memory import PackedMemo, release
 
 SPACE = "▁"
 # What a Python worker remembers, in bytes: segmentations of short words, and which pairs
 # of pieces may stand together.
-REMEMBERED_BYTES, REMEMBERED_CHARS, REMEMBERED_PAIRS_BYTES = 96 << 20, 32, 48 << 20
-# A pair takes its key, an entry of the dictionary and its two strings, which pieces share.
-_PAIR_BYTES = 180
+REMEMBERED_BYTES, REMEMBERED_CHARS, REMEMBERED_PAIRS_BYTES = 24 << 20, 32, 24 << 20
+# A pair takes its key and an entry of the dictionary; its two strings are shared by pieces.
+_PAIR_BYTES = 120
+# Batches after which a worker gives back what it has freed.
+_RELEASE_BATCHES = 32
 
 
 class Codec:
@@ -72,7 +74,7 @@ class Codec:
         self.unknown_score = min(self.scores.values()) - 10
         self.automaton.make_automaton()
         self.segment = self._by_merges if kind == "bpe" else self._by_score
-        self.known = Memo(REMEMBERED_BYTES)
+        self.known = PackedMemo(REMEMBERED_BYTES)
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -148,14 +150,18 @@ class Codec:
         settle(n)
         return self._ids(text, sizes, piece)
 
-    def _chunk(self, chunk: str) -> bytes:
-        found = self.known.get(chunk)
+    def _word(self, word: str) -> bytes:
+        """Ids of a word with the space before it."""
+        found = self.known.get(word)
         if found is None:
-            found = np.array(self.segment(chunk), np.int32).tobytes()
-            if len(chunk) <= REMEMBERED_CHARS:
-                self.known.learn(chunk, found)
+            found = self._chunk(SPACE + word)
+            if len(word) < REMEMBERED_CHARS:
+                self.known.learn(word, found)
         return found
 
+    def _chunk(self, chunk: str) -> bytes:
+        return np.array(self.segment(chunk), np.int32).tobytes()
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as 32-bit numbers."""
         return self.encode_all([text])[0]
@@ -171,7 +177,7 @@ class Codec:
         if not self.whole_words:
             return [np.array(self.segment(SPACE + t), np.int32).tobytes() if t else b"" for t in escaped]
         parts = [t.split(SPACE) if t else [] for t in escaped]
-        here = {w: self._chunk(SPACE + w) for w in set().union(*parts) if w}
+        here = {w: self._word(w) for w in set().union(*parts) if w}
         return [
             self._spaced(words, here) if "" in words else b"".join(map(here.__getitem__, words)) for words in parts
         ]
@@ -221,8 +227,9 @@ def _encoded_batches(
     codec: Codec, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes], pa.ListArray]]:
     """Each batch with the ids of its texts, as bytes and as lists."""
-    release()
-    for batch in batches:
+    for number, batch in enumerate(batches):
+        if number % _RELEASE_BATCHES == 0:
+            release()
         parts = codec.encode_all(batch.column("text").to_pylist())
         bounds = np.zeros(len(parts) + 1, np.int32)
         np.cumsum([len(p) // 4 for p in parts], out=bounds[1:])
