@@ -37,7 +37,7 @@ class PackedMemo:
     """Results by word, of the words met first, which are mostly the frequent ones.
 
     Words of one hash share a byte string, ``  word result  word result ``, so that a word takes
-    some 40 bytes instead of the 190 of a dictionary entry with its two objects. Words hold no
+    some 40 bytes instead of the 150 of a dictionary entry with its two objects. Words hold no
     blank and are not empty; results are written without blanks. Two blanks come before words only.
     Once its strings take ``limit`` bytes, it learns no more.
     """
